@@ -24,7 +24,7 @@ AS_OF = dt.datetime(2024, 1, 31)
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
-    return df.withColumns({name: F.round(name, digits) for name in names})
+    return df.withColumns({name: F.expr(f"round({name}, {digits})") for name in names})
 
 
 # staging
@@ -232,9 +232,8 @@ def dq_sales_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Against the years the orders span, and against a calendar one year shorter at both ends."""
     bounds = gold.order_years(roles.orders(spark, sf_dir))
-    inner = bounds.select(
-        F.add_months("start_day", 12).alias("start_day"),
-        F.add_months("end_day", -12).alias("end_day"),
+    inner = bounds.selectExpr(
+        "add_months(start_day, 12) as start_day", "add_months(end_day, -12) as end_day"
     )
     facts = _facts(spark, sf_dir)
     return quality.union(
@@ -266,9 +265,9 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingested(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]):
     """Write raw tables as CSV to the shared folder and load them from there."""
     root = shared_path(spark, "csv")
-    raw = roles.raw_tables(spark, sf_dir)
     for table in tables:
-        raw[table].write.option("header", True).csv(f"{root}/{table}.csv")
+        rows = roles.RAW_ROLES[table](spark, sf_dir)
+        rows.write.option("header", True).csv(f"{root}/{table}.csv")
     database = f"orderloom_{root.split('-')[-1].split('/')[0]}"
     report = loading.ingest(spark, root, database, tables, location=f"{root}/{database}")
     return loading.read_raw(spark, database, tables), report

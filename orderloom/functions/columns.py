@@ -6,35 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def order_line_id(order_id: Column, item_id: Column) -> Column:
+def order_line_id(order_id: str, item_id: str) -> Column:
     """``<order>-<item>``. A NULL part counts as empty text instead of making the key NULL."""
-
-    def text(part: Column) -> Column:
-        return F.coalesce(part.cast("string"), F.lit(""))
-
-    return F.concat(text(order_id), F.lit("-"), text(item_id))
+    return F.expr(
+        f"coalesce(cast({order_id} as string), '') || '-' || coalesce(cast({item_id} as string), '')"
+    )
 
 
-def is_weekend(day: Column) -> Column:
+def is_weekend(day: str) -> Column:
     """Saturday or Sunday; ``dayofweek`` counts Sunday as 1 and Saturday as 7."""
-    return F.coalesce(F.dayofweek(day).isin(1, 7), F.lit(False))
+    return F.expr(f"coalesce(dayofweek({day}) in (1, 7), false)")
 
 
-def payment_label(payment_type: Column) -> Column:
-    return F.replace(payment_type, F.lit("_"), F.lit(" "))
+def payment_label(payment_type: str) -> Column:
+    return F.expr(f"replace({payment_type}, '_', ' ')")
 
 
-def top_type(value: Column, name: Column) -> Column:
+def top_type(value: str, name: str) -> Column:
     """Aggregate: the name with the largest value, ties to the smallest name, NULLs last in both.
 
-    The struct sorts ascending: the flags push NULLs back, NaN, the largest double, forward, and the
-    minus sign turns the value order round. As an aggregate it combines before the shuffle, which a window would not.
+    The struct sorts ascending: the flags push NULLs back and NaN, the largest double, forward, and
+    the minus sign turns the value order round. As an aggregate it combines before the shuffle,
+    which a window would not.
     """
-    rank = F.struct(
-        value.isNull().alias("no_value"),
-        (~F.isnan(value)).alias("is_number"),
-        (-value).alias("negated"),
-        name.isNull().alias("no_name"),
-        name.alias("name"),
+    return F.expr(
+        f"min(struct({value} is null as no_value, not isnan({value}) as is_number, "
+        f"-{value} as negated, {name} is null as no_name, {name} as name)).name"
     )
-    return F.min(rank)["name"]

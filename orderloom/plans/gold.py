@@ -44,7 +44,7 @@ def dim_payment_type(payments: DataFrame) -> DataFrame:
     """Types seen in any payment, whether or not its order has lines. The ``unknown`` of orders
     without a payment is not among them."""
     types = payments.select("payment_type").distinct()
-    return types.withColumn("payment_type_label", payment_label(F.col("payment_type")))
+    return types.withColumn("payment_type_label", payment_label("payment_type"))
 
 
 def calendar_bounds(
@@ -55,42 +55,41 @@ def calendar_bounds(
 
 def order_years(orders: DataFrame) -> DataFrame:
     """Bounds of the whole calendar years the orders fall in, end exclusive."""
-    day = F.col("order_purchase_timestamp").cast("date")
-    span = orders.agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    return span.select(
-        F.trunc("first", "year").alias("start_day"),
-        F.add_months(F.trunc("last", "year"), 12).alias("end_day"),
+    span = orders.selectExpr(
+        "min(cast(order_purchase_timestamp as date)) as first_day",
+        "max(cast(order_purchase_timestamp as date)) as last_day",
+    )
+    return span.selectExpr(
+        "trunc(first_day, 'year') as start_day",
+        "add_months(trunc(last_day, 'year'), 12) as end_day",
     )
 
 
 def dim_date(bounds: DataFrame) -> DataFrame:
     """One row per day from ``start_day`` up to, not including, ``end_day``."""
-    days = bounds.where("start_day < end_day").select(
-        F.explode(
-            F.sequence("start_day", F.date_sub("end_day", 1), F.expr("interval 1 day"))
-        ).alias("date_key")
+    days = bounds.where("start_day < end_day").selectExpr(
+        "explode(sequence(start_day, date_sub(end_day, 1), interval 1 day)) as date_key"
     )
-    day = F.col("date_key")
     return days.select(
-        day,
-        F.year(day).cast("long").alias("year_num"),
-        F.month(day).cast("long").alias("month_num"),
-        F.dayofmonth(day).cast("long").alias("day_num"),
-        F.date_format(day, "yyyy-MM").alias("year_month"),
-        is_weekend(day).alias("is_weekend"),
+        "date_key",
+        F.expr("cast(year(date_key) as bigint) as year_num"),
+        F.expr("cast(month(date_key) as bigint) as month_num"),
+        F.expr("cast(day(date_key) as bigint) as day_num"),
+        F.expr("date_format(date_key, 'yyyy-MM') as year_month"),
+        is_weekend("date_key").alias("is_weekend"),
     )
 
 
 def fct_orders(enriched: DataFrame) -> DataFrame:
     """One row per order line."""
-    return enriched.select(
+    return enriched.selectExpr(
         "order_line_id",
         "order_id",
-        F.col("order_date").alias("date_key"),
+        "order_date as date_key",
         "customer_id",
         "product_id",
         "seller_id",
-        F.col("primary_payment_type").alias("payment_type"),
+        "primary_payment_type as payment_type",
         "order_status",
         "order_item_id",
         "order_item_count",
@@ -106,9 +105,9 @@ def fct_daily_sales(fct_orders: DataFrame) -> DataFrame:
     """Sales per day and seller. The distinct count groups by order before it groups by day and
     seller, so neither a busy seller nor a huge order gathers in one task."""
     return fct_orders.groupBy("date_key", "seller_id").agg(
-        F.count_distinct("order_id").alias("order_count"),
-        F.count(F.lit(1)).alias("line_count"),
-        F.sum("item_price").alias("item_sales"),
-        F.sum("freight_value").alias("freight_sales"),
-        F.sum("gross_item_amount").alias("gross_sales"),
+        F.expr("count(distinct order_id) as order_count"),
+        F.expr("count(*) as line_count"),
+        F.expr("sum(item_price) as item_sales"),
+        F.expr("sum(freight_value) as freight_sales"),
+        F.expr("sum(gross_item_amount) as gross_sales"),
     )

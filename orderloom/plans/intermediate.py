@@ -45,7 +45,7 @@ def primary_payment_types(payments: DataFrame) -> DataFrame:
     return (
         payment_type_ranks(payments)
         .where("rn = 1")
-        .select("order_id", F.col("payment_type").alias("primary_payment_type"))
+        .selectExpr("order_id", "payment_type as primary_payment_type")
     )
 
 
@@ -56,22 +56,20 @@ def payment_summary(payments: DataFrame) -> DataFrame:
         .groupBy("order_id")
         .agg(
             F.sum("payment_type_value").alias("payment_total_value"),
-            top_type(F.col("payment_type_value"), F.col("payment_type")).alias(
-                "primary_payment_type"
-            ),
+            top_type("payment_type_value", "payment_type").alias("primary_payment_type"),
         )
     )
 
 
 def review_averages(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("order_id").agg(
-        F.avg(F.col("review_score").cast("double")).alias("avg_review_score")
+        F.expr("avg(cast(review_score as double)) as avg_review_score")
     )
 
 
 def item_counts(lines: DataFrame) -> DataFrame:
     """Lines per order, over joined order lines."""
-    return lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("order_item_count"))
+    return lines.groupBy("order_id").agg(F.expr("count(*) as order_item_count"))
 
 
 def line_counts(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -80,12 +78,10 @@ def line_counts(orders: DataFrame, items: DataFrame) -> DataFrame:
     An order yields items x headers lines, so both are counted in one aggregate; a repeated header
     then gives the same count as the joined lines would.
     """
-    sides = items.select("order_id", F.lit(1).alias("item"), F.lit(0).alias("header")).unionAll(
-        orders.select("order_id", F.lit(0), F.lit(1))
-    )
-    return sides.groupBy("order_id").agg(
-        (F.sum("item") * F.sum("header")).alias("order_item_count")
+    sides = items.selectExpr("order_id", "1 as item", "0 as header").unionAll(
+        orders.selectExpr("order_id", "0 as item", "1 as header")
     )
+    return sides.groupBy("order_id").agg(F.expr("sum(item) * sum(header) as order_item_count"))
 
 
 def order_profiles(
@@ -113,10 +109,10 @@ def int_orders_enriched(
     ``orders`` and ``items`` are raw, ``payments`` and ``reviews`` staged.
     """
     lines = join_items(items, order_profiles(orders, items, payments, reviews))
-    return lines.select(
+    return lines.selectExpr(
         *ORDER_COLUMNS,
         "order_item_count",
-        F.coalesce("payment_total_value", F.lit(0.0)).alias("payment_total_value"),
-        F.coalesce("primary_payment_type", F.lit("unknown")).alias("primary_payment_type"),
+        "coalesce(payment_total_value, 0d) as payment_total_value",
+        "coalesce(primary_payment_type, 'unknown') as primary_payment_type",
         "avg_review_score",
     )

@@ -7,7 +7,6 @@ NULL fails ``not_null`` only.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -84,68 +83,59 @@ SALES_TOLERANCE = 0.01
 WARN_AFTER_HOURS = 24
 ERROR_AFTER_HOURS = 72
 
-Measure = tuple[str, str, Column]
+# A row-level check: column, check, SQL aggregate that counts its failures.
+Measure = tuple[str, str, str]
 
 
-def _rows(flag: Column) -> Column:
-    return F.count(F.when(flag, 1))
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
 
 
 def null_measures(columns: Iterable[str]) -> list[Measure]:
-    return [(name, "not_null", _rows(F.col(name).isNull())) for name in columns]
+    return [(name, "not_null", f"count_if({name} is null)") for name in columns]
 
 
 def value_measures(accepted: dict[str, Sequence]) -> list[Measure]:
-    return [
-        (
-            name,
-            "accepted_values",
-            F.count_distinct(F.when(~F.col(name).isin(*values), F.col(name))),
-        )
-        for name, values in accepted.items()
-    ]
+    measures = []
+    for name, values in accepted.items():
+        listed = ", ".join(_literal(value) for value in values)
+        foreign = f"count(distinct case when {name} not in ({listed}) then {name} end)"
+        measures.append((name, "accepted_values", foreign))
+    return measures
 
 
-def in_range(column: Column, low=None, high=None, inclusive: bool = True) -> Column:
-    """Both bounds optional; NULL where the column is NULL."""
-    held = F.lit(True)
-    if low is not None:
-        held = held & ((column >= low) if inclusive else (column > low))
-    if high is not None:
-        held = held & ((column <= high) if inclusive else (column < high))
-    return held
+def outside(column: str, low=None, high=None, inclusive: bool = True) -> str:
+    """SQL: the value lies outside its bounds, both optional; not true where it is NULL."""
+    below, above = ("<", ">") if inclusive else ("<=", ">=")
+    limits = [(below, low), (above, high)]
+    broken = [f"{column} {sign} {bound}" for sign, bound in limits if bound is not None]
+    return " or ".join(broken) or "false"
 
 
 def range_measures(ranges: dict[str, tuple]) -> list[Measure]:
     return [
-        (name, "accepted_range", _rows(~in_range(F.col(name), low, high)))
-        for name, (low, high) in ranges.items()
+        (name, "accepted_range", f"count_if({outside(name, *bounds)})")
+        for name, bounds in ranges.items()
     ]
 
 
-def row_verdicts(df: DataFrame, table: str, measures: Sequence[Measure]) -> DataFrame:
-    """Any number of row-level checks of a table in one aggregate, turned into one row each."""
-    names = [f"m{i}" for i in range(len(measures))]
-    totals = df.agg(*[m[2].alias(name) for name, m in zip(names, measures)])
-    verdicts = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            F.lit(check).alias("check_name"),
-            F.col(name).cast("long").alias("failures"),
-        )
-        for name, (column, check, _) in zip(names, measures)
-    ]
-    return totals.select(F.inline(F.array(*verdicts)))
+def _verdict(table: str, column: str, check: str, failures: str) -> str:
+    return (
+        f"struct('{table}' as table_name, '{column}' as column_name, '{check}' as check_name, "
+        f"cast({failures} as bigint) as failures)"
+    )
 
 
-def _verdict(one_row: DataFrame, table: str, column: str, check: str) -> DataFrame:
-    return one_row.select(
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(check).alias("check_name"),
-        F.col("failures").cast("long").alias("failures"),
-    )
+def _verdicts(df: DataFrame, verdicts: Sequence[str]) -> DataFrame:
+    """One global aggregate over ``df``, one output row per verdict."""
+    return df.selectExpr(f"array({', '.join(verdicts)}) as verdicts").selectExpr("inline(verdicts)")
+
+
+def row_verdicts(df: DataFrame, table: str, measures: Sequence[Measure]) -> DataFrame:
+    """Any number of row-level checks of a table in one aggregate, turned into one row each."""
+    return _verdicts(df, [_verdict(table, *measure) for measure in measures])
 
 
 def union(parts: Iterable[DataFrame]) -> DataFrame:
@@ -156,10 +146,9 @@ def unique(df: DataFrame, table: str, columns: Sequence[str], check: str = "uniq
     """Values, or combinations of values, that occur more than once. A single column ignores NULL,
     a combination compares it like a value."""
     if len(columns) == 1:
-        df = df.where(F.col(columns[0]).isNotNull())
-    repeated = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    counted = repeated.agg(F.count(F.lit(1)).alias("failures"))
-    return _verdict(counted, table, ",".join(columns), check)
+        df = df.where(f"{columns[0]} is not null")
+    groups = df.groupBy(*columns).agg(F.expr("count(*) as n"))
+    return _verdicts(groups, [_verdict(table, ",".join(columns), check, "count_if(n > 1)")])
 
 
 def relationships(
@@ -171,78 +160,76 @@ def relationships(
     The child is read once: its keys are turned into (column, value) pairs and counted before the
     shuffle, so a key shared by very many rows travels as one.
     """
-    pairs = [
-        F.struct(F.lit(column).alias("column_name"), F.col(column).cast("string").alias("value"))
+    pairs = ", ".join(
+        f"struct('{column}' as column_name, cast({column} as string) as value)"
         for column, _, _ in parents
-    ]
+    )
     used = (
-        child.select(F.inline(F.array(*pairs)))
-        .where(F.col("value").isNotNull())
+        child.selectExpr(f"inline(array({pairs}))")
+        .where("value is not null")
         .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(*) as n"))
     )
     known = union(
-        parent.select(
-            F.lit(column).alias("column_name"), F.col(field).cast("string").alias("value")
-        )
+        parent.selectExpr(f"'{column}' as column_name", f"cast({field} as string) as value")
         for column, parent, field in parents
     )
     orphans = used.join(known, ["column_name", "value"], "left_anti")
-    totals = orphans.agg(
-        *[
-            F.sum(F.when(F.col("column_name") == column, F.col("n"))).alias(f"m{i}")
-            for i, (column, _, _) in enumerate(parents)
-        ]
+    return _verdicts(
+        orphans,
+        [
+            _verdict(
+                table,
+                column,
+                "relationships",
+                f"coalesce(sum(n) filter (where column_name = '{column}'), 0)",
+            )
+            for column, _, _ in parents
+        ],
     )
-    verdicts = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            F.lit("relationships").alias("check_name"),
-            F.coalesce(F.col(f"m{i}"), F.lit(0)).cast("long").alias("failures"),
-        )
-        for i, (column, _, _) in enumerate(parents)
-    ]
-    return totals.select(F.inline(F.array(*verdicts)))
 
 
-def _totals(daily: DataFrame, daily_total: Column, lines: DataFrame, line_total: Column):
+def _totals(daily: DataFrame, daily_total: str, lines: DataFrame, line_total: str) -> DataFrame:
     """Two one-row totals side by side, through a union instead of a cross join."""
-    both = daily.agg(daily_total.alias("daily"), F.lit(None).alias("lines")).unionAll(
-        lines.agg(F.lit(None).alias("daily"), line_total.alias("lines"))
+    both = daily.selectExpr(f"{daily_total} as daily", "null as lines").unionAll(
+        lines.selectExpr("null as daily", f"{line_total} as lines")
     )
-    return both.agg(F.max("daily").alias("daily"), F.max("lines").alias("lines"))
+    return both.selectExpr("max(daily) as daily", "max(lines) as lines")
 
 
 def line_count_matches(daily_sales: DataFrame, orders: DataFrame) -> DataFrame:
     """1 if the daily lines do not add up to the order lines."""
-    totals = _totals(daily_sales, F.sum("line_count"), orders, F.count(F.lit(1)))
-    failed = totals.where("daily != lines").agg(F.count(F.lit(1)).alias("failures"))
-    return _verdict(failed, "fct_daily_sales", "line_count", "line_count_matches")
+    totals = _totals(daily_sales, "sum(line_count)", orders, "count(*)")
+    failed = "count_if(daily != lines)"
+    return _verdicts(
+        totals, [_verdict("fct_daily_sales", "line_count", "line_count_matches", failed)]
+    )
 
 
 def sales_reconcile(
     daily_sales: DataFrame, orders: DataFrame, tolerance: float = SALES_TOLERANCE
 ) -> DataFrame:
     """1 if the daily gross sales differ from the order lines' by more than the tolerance."""
-    totals = _totals(daily_sales, F.sum("gross_sales"), orders, F.sum("gross_item_amount"))
-    failed = totals.where(F.abs(F.col("daily") - F.col("lines")) > tolerance).agg(
-        F.count(F.lit(1)).alias("failures")
+    totals = _totals(daily_sales, "sum(gross_sales)", orders, "sum(gross_item_amount)")
+    failed = f"count_if(abs(daily - lines) > {tolerance})"
+    return _verdicts(
+        totals, [_verdict("fct_daily_sales", "gross_sales", "sales_reconcile", failed)]
     )
-    return _verdict(failed, "fct_daily_sales", "gross_sales", "sales_reconcile")
 
 
 def lines_outside_calendar(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     """Order lines dated before the first or after the last calendar day."""
-    first = calendar.select(F.min("date_key")).scalar()
-    last = calendar.select(F.max("date_key")).scalar()
+    first = calendar.selectExpr("min(date_key)").scalar()
+    last = calendar.selectExpr("max(date_key)").scalar()
     day = F.col("date_key")
     return orders.where((day < first) | (day > last)).select("order_line_id", "date_key")
 
 
 def within_calendar(orders: DataFrame, calendar: DataFrame) -> DataFrame:
-    outside = lines_outside_calendar(orders, calendar).agg(F.count(F.lit(1)).alias("failures"))
-    return _verdict(outside, "fct_orders", "date_key", "within_calendar")
+    outside_lines = lines_outside_calendar(orders, calendar)
+    return _verdicts(
+        outside_lines, [_verdict("fct_orders", "date_key", "within_calendar", "count(*)")]
+    )
 
 
 def unique_suite(tables: Tables) -> DataFrame:
@@ -317,30 +304,28 @@ def check_suite(tables: Tables) -> DataFrame:
             within_calendar(orders, tables["dim_date"]),
         ]
     )
-    status = F.when(F.col("failures") == 0, "pass").otherwise("fail")
-    return verdicts.withColumn("status", status)
+    return verdicts.selectExpr("*", "if(failures = 0, 'pass', 'fail') as status")
 
 
 def load_stamps(tables: Tables) -> DataFrame:
     return union(
-        df.select(F.lit(name).alias("table_name"), F.col("_loaded_at").cast("timestamp"))
+        df.selectExpr(f"'{name}' as table_name", "cast(_loaded_at as timestamp) as _loaded_at")
         for name, df in tables.items()
     )
 
 
-def freshness(stamps: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
+def freshness(stamps: DataFrame, as_of: Column) -> DataFrame:
     """Age of the newest load per source at ``as_of``: over a day old warns, over three days is an
     error, as is a source that has no stamp at all. ``stamps`` has table_name and _loaded_at."""
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    newest = stamps.groupBy("table_name").agg(F.max("_loaded_at").alias("max_loaded_at"))
-    age = F.unix_micros(now.cast("timestamp")) - F.unix_micros("max_loaded_at")
+    newest = stamps.groupBy("table_name").agg(F.expr("max(_loaded_at) as max_loaded_at"))
+    aged = newest.withColumn("as_of", as_of.cast("timestamp")).selectExpr(
+        "table_name", "max_loaded_at", "unix_micros(as_of) - unix_micros(max_loaded_at) as age"
+    )
     hour = 3_600_000_000
-    return newest.select(
+    return aged.selectExpr(
         "table_name",
         "max_loaded_at",
-        F.floor(age / 1_000_000).cast("long").alias("age_seconds"),
-        F.when(age.isNull() | (age > ERROR_AFTER_HOURS * hour), "error")
-        .when(age > WARN_AFTER_HOURS * hour, "warn")
-        .otherwise("pass")
-        .alias("status"),
+        "cast(floor(age / 1000000) as bigint) as age_seconds",
+        f"case when age is null or age > {ERROR_AFTER_HOURS * hour} then 'error' "
+        f"when age > {WARN_AFTER_HOURS * hour} then 'warn' else 'pass' end as status",
     )

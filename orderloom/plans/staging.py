@@ -25,29 +25,26 @@ ORDER_COLUMNS = (
 
 
 def order_headers(orders: DataFrame) -> DataFrame:
-    bought = F.col("order_purchase_timestamp")
-    return orders.select(
+    return orders.selectExpr(
         "order_id",
         "customer_id",
-        bought.cast("timestamp_ntz").alias("order_purchase_ts"),
-        bought.cast("date").alias("order_date"),
+        "cast(order_purchase_timestamp as timestamp_ntz) as order_purchase_ts",
+        "cast(order_purchase_timestamp as date) as order_date",
         "order_status",
     )
 
 
 def order_items(items: DataFrame) -> DataFrame:
-    price = F.col("price").cast("double")
-    freight = F.col("freight_value").cast("double")
-    return items.select(
-        order_line_id(F.col("order_id"), F.col("order_item_id")).alias("order_line_id"),
+    typed = items.select(
+        order_line_id("order_id", "order_item_id").alias("order_line_id"),
         "order_id",
         "seller_id",
         "product_id",
-        F.col("order_item_id").cast("int").alias("order_item_id"),
-        price.alias("item_price"),
-        freight.alias("freight_value"),
-        (price + freight).alias("gross_item_amount"),
+        F.expr("cast(order_item_id as int) as order_item_id"),
+        F.expr("cast(price as double) as item_price"),
+        F.expr("cast(freight_value as double) as freight_value"),
     )
+    return typed.selectExpr("*", "item_price + freight_value as gross_item_amount")
 
 
 def join_items(items: DataFrame, headers: DataFrame) -> DataFrame:
@@ -63,10 +60,10 @@ def stg_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def stg_customers(customers: DataFrame) -> DataFrame:
-    return customers.select(
+    return customers.selectExpr(
         "customer_id",
         "customer_unique_id",
-        F.col("customer_zip_code_prefix").cast("string").alias("customer_zip_code_prefix"),
+        "cast(customer_zip_code_prefix as string) as customer_zip_code_prefix",
         "customer_city",
         "customer_state",
     )
@@ -78,49 +75,45 @@ def stg_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     The join carries no hint: the optimizer broadcasts the translation when its size allows and
     shuffles otherwise, with adaptive splitting of a category that holds many products.
     """
-
-    def whole(source: str, name: str | None = None):
-        return F.col(source).cast("int").alias(name or source)
-
     names = translation.select("product_category_name", "product_category_name_english")
-    return products.join(names, "product_category_name", "left").select(
+    return products.join(names, "product_category_name", "left").selectExpr(
         "product_id",
         "product_category_name",
         "product_category_name_english",
-        whole("product_name_lenght", "product_name_length"),
-        whole("product_description_lenght", "product_description_length"),
-        whole("product_photos_qty"),
-        whole("product_weight_g"),
-        whole("product_length_cm"),
-        whole("product_height_cm"),
-        whole("product_width_cm"),
+        "cast(product_name_lenght as int) as product_name_length",
+        "cast(product_description_lenght as int) as product_description_length",
+        "cast(product_photos_qty as int) as product_photos_qty",
+        "cast(product_weight_g as int) as product_weight_g",
+        "cast(product_length_cm as int) as product_length_cm",
+        "cast(product_height_cm as int) as product_height_cm",
+        "cast(product_width_cm as int) as product_width_cm",
     )
 
 
 def stg_sellers(sellers: DataFrame) -> DataFrame:
-    return sellers.select(
+    return sellers.selectExpr(
         "seller_id",
-        F.col("seller_zip_code_prefix").cast("string").alias("seller_zip_code_prefix"),
+        "cast(seller_zip_code_prefix as string) as seller_zip_code_prefix",
         "seller_city",
         "seller_state",
     )
 
 
 def stg_payments(payments: DataFrame) -> DataFrame:
-    return payments.select(
+    return payments.selectExpr(
         "order_id",
-        F.col("payment_sequential").cast("int").alias("payment_sequential"),
+        "cast(payment_sequential as int) as payment_sequential",
         "payment_type",
-        F.col("payment_installments").cast("int").alias("payment_installments"),
-        F.col("payment_value").cast("double").alias("payment_value"),
+        "cast(payment_installments as int) as payment_installments",
+        "cast(payment_value as double) as payment_value",
     )
 
 
 def stg_reviews(reviews: DataFrame) -> DataFrame:
-    return reviews.select(
+    return reviews.selectExpr(
         "review_id",
         "order_id",
-        F.col("review_score").cast("int").alias("review_score"),
-        F.col("review_creation_date").cast("date").alias("review_creation_date"),
-        F.col("review_answer_timestamp").cast("timestamp_ntz").alias("review_answer_ts"),
+        "cast(review_score as int) as review_score",
+        "cast(review_creation_date as date) as review_creation_date",
+        "cast(review_answer_timestamp as timestamp_ntz) as review_answer_ts",
     )

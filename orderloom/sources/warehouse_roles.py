@@ -6,8 +6,7 @@ so every model runs on it unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Payment type by line number modulo five.
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card", "not_defined")
@@ -24,86 +23,101 @@ TRANSLATIONS = (
 EVENT_AGES = (("click", 12), ("signup", 25), ("view", 48), ("error", 73))
 
 
+# The columns used of each table. Declared, so that opening a table reads no footers.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_tax double, l_returnflag string, "
+    "l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "events": "ts timestamp_ntz, event_type string",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.col("o_orderdate").alias("order_purchase_timestamp"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as order_id",
+        "o_custkey as customer_id",
+        "o_orderstatus as order_status",
+        "o_orderdate as order_purchase_timestamp",
     )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").alias("price"),
-        (F.col("l_quantity") * F.col("l_tax")).alias("freight_value"),
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey as order_id",
+        "l_linenumber as order_item_id",
+        "l_partkey as product_id",
+        "l_suppkey as seller_id",
+        "l_shipdate as shipping_limit_date",
+        "l_extendedprice as price",
+        "l_quantity * l_tax as freight_value",
     )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = _table(spark, sf_dir, "lineitem").where("l_returnflag <> 'N'")
-    number = F.col("l_linenumber")
-    kind: Column = F.when(number % 5 == 0, PAYMENT_TYPES[0])
-    for rest in (1, 2, 3):
-        kind = kind.when(number % 5 == rest, PAYMENT_TYPES[rest])
-    return paid.select(
-        F.col("l_orderkey").alias("order_id"),
-        number.alias("payment_sequential"),
-        kind.otherwise(PAYMENT_TYPES[4]).alias("payment_type"),
-        F.lit(1).alias("payment_installments"),
-        F.col("l_quantity").alias("payment_value"),
+    kinds = ", ".join(f"'{kind}'" for kind in PAYMENT_TYPES)
+    return (
+        _table(spark, sf_dir, "lineitem")
+        .where("l_returnflag <> 'N'")
+        .selectExpr(
+            "l_orderkey as order_id",
+            "l_linenumber as payment_sequential",
+            f"elt(l_linenumber % 5 + 1, {kinds}) as payment_type",
+            "1 as payment_installments",
+            "l_quantity as payment_value",
+        )
     )
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    returned = _table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
-    return returned.select(
-        F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("review_id"),
-        F.col("l_orderkey").alias("order_id"),
-        (F.lit(1) + F.col("l_quantity").cast("int") % 5).alias("review_score"),
-        F.col("l_shipdate").alias("review_creation_date"),
-        F.col("l_shipdate").alias("review_answer_timestamp"),
+    return (
+        _table(spark, sf_dir, "lineitem")
+        .where("l_returnflag = 'R'")
+        .selectExpr(
+            "l_orderkey || '-' || l_linenumber as review_id",
+            "l_orderkey as order_id",
+            "1 + cast(l_quantity as int) % 5 as review_score",
+            "l_shipdate as review_creation_date",
+            "l_shipdate as review_answer_timestamp",
+        )
     )
 
 
-def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+def _with_state(rows: DataFrame, nation_key: str, sf_dir: str) -> DataFrame:
+    states = _table(rows.sparkSession, sf_dir, "nation")
+    return rows.join(states.withColumnRenamed("n_nationkey", nation_key), nation_key, "left")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "customer")
-    return rows.join(
-        _states(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    ).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
-        F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("customer_zip_code_prefix"),
-        F.col("c_mktsegment").alias("customer_city"),
-        F.col("n_name").alias("customer_state"),
+    return _with_state(_table(spark, sf_dir, "customer"), "c_nationkey", sf_dir).selectExpr(
+        "c_custkey as customer_id",
+        "c_name as customer_unique_id",
+        "lpad(cast(c_custkey as string), 12, '0') as customer_zip_code_prefix",
+        "c_mktsegment as customer_city",
+        "n_name as customer_state",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.col("p_size")
-    return _table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
-        F.length("p_name").alias("product_name_lenght"),
-        F.length("p_brand").alias("product_description_lenght"),
-        (size % 6).alias("product_photos_qty"),
-        size.alias("product_weight_g"),
-        (size + 10).alias("product_length_cm"),
-        (size + 2).alias("product_height_cm"),
-        (size + 5).alias("product_width_cm"),
+    return _table(spark, sf_dir, "part").selectExpr(
+        "p_partkey as product_id",
+        "p_type as product_category_name",
+        "length(p_name) as product_name_lenght",
+        "length(p_brand) as product_description_lenght",
+        "p_size % 6 as product_photos_qty",
+        "p_size as product_weight_g",
+        "p_size + 10 as product_length_cm",
+        "p_size + 2 as product_height_cm",
+        "p_size + 5 as product_width_cm",
     )
 
 
@@ -115,37 +129,30 @@ def translation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "supplier")
-    return rows.join(
-        _states(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"), "left"
-    ).select(
-        F.col("s_suppkey").alias("seller_id"),
-        F.lpad(F.col("s_suppkey").cast("string"), 12, "0").alias("seller_zip_code_prefix"),
-        F.col("s_name").alias("seller_city"),
-        F.col("n_name").alias("seller_state"),
+    return _with_state(_table(spark, sf_dir, "supplier"), "s_nationkey", sf_dir).selectExpr(
+        "s_suppkey as seller_id",
+        "lpad(cast(s_suppkey as string), 12, '0') as seller_zip_code_prefix",
+        "s_name as seller_city",
+        "n_name as seller_state",
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    roles = {
-        "olist_orders": orders,
-        "olist_order_items": order_items,
-        "olist_order_payments": payments,
-        "olist_order_reviews": reviews,
-        "olist_customers": customers,
-        "olist_products": products,
-        "olist_sellers": sellers,
-        "product_category_name_translation": translation,
-    }
-    return {name: role(spark, sf_dir) for name, role in roles.items()}
+RAW_ROLES = {
+    "olist_orders": orders,
+    "olist_order_items": order_items,
+    "olist_order_payments": payments,
+    "olist_order_reviews": reviews,
+    "olist_customers": customers,
+    "olist_products": products,
+    "olist_sellers": sellers,
+    "product_category_name_translation": translation,
+}
 
 
 def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as load stamps: one source per event type."""
-    back = F.lit(0)
-    for kind, hours in EVENT_AGES:
-        back = F.when(F.col("event_type") == kind, hours).otherwise(back)
-    return _table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("table_name"),
-        (F.col("ts") - F.make_dt_interval(hours=back)).cast("timestamp").alias("_loaded_at"),
+    ages = " ".join(f"when '{kind}' then {hours}" for kind, hours in EVENT_AGES)
+    back = f"make_dt_interval(0, case event_type {ages} else 0 end)"
+    return _table(spark, sf_dir, "events").selectExpr(
+        "event_type as table_name", f"cast(ts - {back} as timestamp) as _loaded_at"
     )
