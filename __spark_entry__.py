@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -265,9 +266,13 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingested(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]):
     """Write raw tables as CSV to the shared folder and load them from there."""
     root = shared_path(spark, "csv")
-    for table in tables:
+
+    def export(table: str) -> None:
         rows = roles.RAW_ROLES[table](spark, sf_dir)
         rows.write.option("header", True).csv(f"{root}/{table}.csv")
+
+    with ThreadPoolExecutor(len(tables)) as pool:
+        list(pool.map(export, tables))
     database = f"orderloom_{root.split('-')[-1].split('/')[0]}"
     report = loading.ingest(spark, root, database, tables, location=f"{root}/{database}")
     return loading.read_raw(spark, database, tables), report

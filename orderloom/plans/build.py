@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,19 +66,22 @@ def save_gold(
     shuffle of the fact.
     """
     create_database(spark, database, location)
-    saved = dict(models)
-    for name in GOLD_TABLES:
-        rows = models[name]
-        if name == "fct_daily_sales":
-            rows = gold.fct_daily_sales(saved["fct_orders"])
+
+    def save(name: str, rows: DataFrame) -> DataFrame:
+        writer = rows.write
         if name == "fct_orders" and order_buckets:
-            rows = rows.repartition(order_buckets, "order_id")
-            writer = rows.write.bucketBy(order_buckets, "order_id")
-        else:
-            writer = rows.write
+            writer = rows.repartition(order_buckets, "order_id").write
+            writer = writer.bucketBy(order_buckets, "order_id")
         writer.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
-        saved[name] = spark.table(f"{database}.{name}")
-    return saved
+        return spark.table(f"{database}.{name}")
+
+    first = [name for name in GOLD_TABLES if name != "fct_daily_sales"]
+    with ThreadPoolExecutor(len(first)) as pool:  # dimensions do not wait for the order fact
+        saved = dict(zip(first, pool.map(lambda name: save(name, models[name]), first)))
+    saved["fct_daily_sales"] = save(
+        "fct_daily_sales", gold.fct_daily_sales(saved["fct_orders"])
+    )
+    return {**models, **saved}
 
 
 def run(

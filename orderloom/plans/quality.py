@@ -142,13 +142,32 @@ def union(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def unique(df: DataFrame, table: str, columns: Sequence[str], check: str = "unique") -> DataFrame:
-    """Values, or combinations of values, that occur more than once. A single column ignores NULL,
-    a combination compares it like a value."""
-    if len(columns) == 1:
-        df = df.where(f"{columns[0]} is not null")
+def unique(keys: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
+    """Values that occur more than once, NULL aside, for several (table, column, rows) at once.
+
+    All keys share one shuffle, after counting within each task.
+    """
+    values = union(
+        rows.where(f"{column} is not null").selectExpr(
+            f"{number} as number", f"cast({column} as string) as value"
+        )
+        for number, (_, column, rows) in enumerate(keys)
+    )
+    repeated = values.groupBy("number", "value").agg(F.expr("count(*) as n")).where("n > 1")
+    return _verdicts(
+        repeated,
+        [
+            _verdict(table, column, "unique", f"count_if(number = {number})")
+            for number, (table, column, _) in enumerate(keys)
+        ],
+    )
+
+
+def unique_combination(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """Combinations of values that occur more than once; NULL compares like a value."""
     groups = df.groupBy(*columns).agg(F.expr("count(*) as n"))
-    return _verdicts(groups, [_verdict(table, ",".join(columns), check, "count_if(n > 1)")])
+    verdict = _verdict(table, ",".join(columns), "unique_combination", "count_if(n > 1)")
+    return _verdicts(groups, [verdict])
 
 
 def relationships(
@@ -161,20 +180,20 @@ def relationships(
     shuffle, so a key shared by very many rows travels as one.
     """
     pairs = ", ".join(
-        f"struct('{column}' as column_name, cast({column} as string) as value)"
-        for column, _, _ in parents
+        f"struct({number} as number, cast({column} as string) as value)"
+        for number, (column, _, _) in enumerate(parents)
     )
     used = (
         child.selectExpr(f"inline(array({pairs}))")
         .where("value is not null")
-        .groupBy("column_name", "value")
+        .groupBy("number", "value")
         .agg(F.expr("count(*) as n"))
     )
     known = union(
-        parent.selectExpr(f"'{column}' as column_name", f"cast({field} as string) as value")
-        for column, parent, field in parents
+        parent.selectExpr(f"{number} as number", f"cast({field} as string) as value")
+        for number, (_, parent, field) in enumerate(parents)
     )
-    orphans = used.join(known, ["column_name", "value"], "left_anti")
+    orphans = used.join(known, ["number", "value"], "left_anti")
     return _verdicts(
         orphans,
         [
@@ -182,9 +201,9 @@ def relationships(
                 table,
                 column,
                 "relationships",
-                f"coalesce(sum(n) filter (where column_name = '{column}'), 0)",
+                f"coalesce(sum(n) filter (where number = {number}), 0)",
             )
-            for column, _, _ in parents
+            for number, (column, _, _) in enumerate(parents)
         ],
     )
 
@@ -233,7 +252,7 @@ def within_calendar(orders: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def unique_suite(tables: Tables) -> DataFrame:
-    return union(unique(tables[table], table, [column]) for table, column in UNIQUE)
+    return unique([(table, column, tables[table]) for table, column in UNIQUE])
 
 
 def not_null_suite(tables: Tables) -> DataFrame:
@@ -259,7 +278,7 @@ def accepted_range_suite(tables: Tables) -> DataFrame:
 
 def unique_combination_suite(tables: Tables) -> DataFrame:
     return union(
-        unique(tables[table], table, columns, "unique_combination")
+        unique_combination(tables[table], table, columns)
         for table, columns in UNIQUE_COMBINATIONS
     )
 

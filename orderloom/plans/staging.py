@@ -35,23 +35,34 @@ def order_headers(orders: DataFrame) -> DataFrame:
 
 
 def order_items(items: DataFrame) -> DataFrame:
-    typed = items.select(
-        order_line_id("order_id", "order_item_id").alias("order_line_id"),
+    """What the join has to carry per item; the rest of the line is derived after it."""
+    return items.selectExpr(
         "order_id",
+        "order_item_id",
         "seller_id",
         "product_id",
-        F.expr("cast(order_item_id as int) as order_item_id"),
-        F.expr("cast(price as double) as item_price"),
-        F.expr("cast(freight_value as double) as freight_value"),
+        "cast(price as double) as item_price",
+        "cast(freight_value as double) as freight_value",
     )
-    return typed.selectExpr("*", "item_price + freight_value as gross_item_amount")
 
 
 def join_items(items: DataFrame, headers: DataFrame) -> DataFrame:
     """Order items to whatever is kept per header; orders without items and items without a header
-    disappear. An order with too many items for one task is divided."""
+    disappear. An order with too many items for one task is divided.
+
+    Neither side has a bound, so both are shuffled and merged. Without the hint a compressed file
+    just under the broadcast limit would have its items, the longest table, broadcast.
+    """
     splits = find_splits(items, "order_id")
-    return spread_join(order_items(items), headers, "order_id", "inner", splits)
+    carried = order_items(items).hint("merge")
+    lines = spread_join(carried, headers, "order_id", "inner", splits)
+    return lines.withColumns(
+        {
+            "order_line_id": order_line_id("order_id", "order_item_id"),
+            "order_item_id": F.expr("cast(order_item_id as int)"),
+            "gross_item_amount": F.expr("item_price + freight_value"),
+        }
+    )
 
 
 def stg_orders(orders: DataFrame, items: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,9 +60,13 @@ def ingest(
     if clean:
         drop_tables(spark, database)
     create_database(spark, database, location)
-    for table, (rows, _) in found.items():
-        stamped = stamp(rows, loaded_at, load_id)
+
+    def replace(table: str) -> None:
+        stamped = stamp(found[table][0], loaded_at, load_id)
         stamped.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{table}")
+
+    with ThreadPoolExecutor(len(found)) as pool:  # small tables do not wait for the large ones
+        list(pool.map(replace, found))
     raw = read_raw(spark, database, tables)
     return row_counts(raw, {table: path for table, (_, path) in found.items()})
 
