@@ -67,8 +67,9 @@ def order_years(orders: DataFrame) -> DataFrame:
 
 def dim_date(bounds: DataFrame) -> DataFrame:
     """One row per day from ``start_day`` up to, not including, ``end_day``."""
-    days = bounds.where("start_day < end_day").selectExpr(
-        "explode(sequence(start_day, date_sub(end_day, 1), interval 1 day)) as date_key"
+    through_end = "sequence(start_day, greatest(start_day, end_day), interval 1 day)"
+    days = bounds.selectExpr(f"explode({through_end}) as date_key", "end_day").where(
+        "date_key < end_day"
     )
     return days.select(
         "date_key",
