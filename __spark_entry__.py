@@ -8,7 +8,7 @@ engines add in different orders.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -162,50 +162,41 @@ def state_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # checks
 
 
-def _dimensions(spark: SparkSession, sf_dir: str) -> quality.Tables:
-    return {
-        "dim_customer": dim_customer(spark, sf_dir),
-        "dim_product": dim_product(spark, sf_dir),
-        "dim_seller": dim_seller(spark, sf_dir),
-        "dim_payment_type": dim_payment_type(spark, sf_dir),
-        "dim_date": dim_date(spark, sf_dir),
-    }
+CHECKED = {
+    "olist_orders": roles.orders,
+    "olist_customers": roles.customers,
+    "stg_orders": stg_orders,
+    "stg_customers": stg_customers,
+    "stg_products": stg_products,
+    "stg_sellers": stg_sellers,
+    "stg_payments": stg_payments,
+    "stg_reviews": stg_reviews,
+    "dim_customer": dim_customer,
+    "dim_product": dim_product,
+    "dim_seller": dim_seller,
+    "dim_payment_type": dim_payment_type,
+    "dim_date": dim_date,
+    "fct_orders": _facts,
+    "fct_daily_sales": _daily,
+}
 
 
-def _upstream(spark: SparkSession, sf_dir: str) -> quality.Tables:
-    return {
-        "olist_orders": roles.orders(spark, sf_dir),
-        "olist_customers": roles.customers(spark, sf_dir),
-        "stg_orders": stg_orders(spark, sf_dir),
-        "stg_customers": stg_customers(spark, sf_dir),
-        "stg_products": stg_products(spark, sf_dir),
-        "stg_sellers": stg_sellers(spark, sf_dir),
-        "stg_payments": stg_payments(spark, sf_dir),
-        "stg_reviews": stg_reviews(spark, sf_dir),
-    }
-
-
-def _tables(spark: SparkSession, sf_dir: str) -> quality.Tables:
-    facts = _facts(spark, sf_dir)
-    return {
-        **_upstream(spark, sf_dir),
-        **_dimensions(spark, sf_dir),
-        "fct_orders": facts,
-        "fct_daily_sales": gold.fct_daily_sales(facts),
-    }
+def _tables(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> quality.Tables:
+    return {name: CHECKED[name](spark, sf_dir) for name in dict.fromkeys(names)}
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.unique_suite(_tables(spark, sf_dir))
+    tables = _tables(spark, sf_dir, (table for table, _ in quality.UNIQUE))
+    return quality.unique_suite(tables)
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.not_null_suite(_tables(spark, sf_dir))
+    return quality.not_null_suite(_tables(spark, sf_dir, quality.NOT_NULL))
 
 
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {**_dimensions(spark, sf_dir), "fct_orders": _facts(spark, sf_dir)}
-    return quality.relationships_suite(tables)
+    names = [name for child, _, parent, _ in quality.RELATIONSHIPS for name in (child, parent)]
+    return quality.relationships_suite(_tables(spark, sf_dir, names))
 
 
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +204,7 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.accepted_range_suite(_tables(spark, sf_dir))
+    return quality.accepted_range_suite(_tables(spark, sf_dir, quality.ACCEPTED_RANGES))
 
 
 def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,16 +235,13 @@ def dq_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = write_once(_facts(spark, sf_dir), "fct_orders")
+    """All checks; the fact tables are written once, with the columns the checks read."""
+    checked = quality.NOT_NULL["fct_orders"]
+    facts = write_once(_facts(spark, sf_dir).select(*checked), "fct_orders")
     daily = write_once(gold.fct_daily_sales(facts), "fct_daily_sales")
-    return quality.check_suite(
-        {
-            **_upstream(spark, sf_dir),
-            **_dimensions(spark, sf_dir),
-            "fct_orders": facts,
-            "fct_daily_sales": daily,
-        }
-    )
+    written = {"fct_orders": facts, "fct_daily_sales": daily}
+    others = [name for name in CHECKED if name not in written]
+    return quality.check_suite({**_tables(spark, sf_dir, others), **written})
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
