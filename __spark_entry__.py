@@ -245,7 +245,9 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.freshness(roles.loads(spark, sf_dir), F.lit(AS_OF).cast("timestamp_ntz"))
+    as_of = F.lit(AS_OF).cast("timestamp_ntz")
+    verdicts = quality.freshness(roles.loads(spark, sf_dir), as_of)
+    return verdicts.withColumn("max_loaded_at", F.expr("cast(max_loaded_at as timestamp_ntz)"))
 
 
 # loading

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from orderloom.operators import find_splits, skew, spread_join
-from orderloom.plans import build, gold, intermediate, staging
+from orderloom.plans import build, gold, intermediate, reports, staging
 from orderloom.sources import warehouse_roles as roles
 from pyspark.sql import functions as F
 
@@ -96,3 +96,37 @@ def test_whole_mart_builds_divided(divide, spark):
     raw = {name: role(spark, SMALL) for name, role in roles.RAW_ROLES.items()}
     models = build.build(raw, gold.order_years(raw["olist_orders"]))
     assert models["fct_orders"].count() == 6000
+
+
+def test_adaptive_skew_join_splits_a_hot_customer(spark, tmp_path, request):
+    """The customer report joins two bare shuffles, which adaptive execution can split by itself."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+
+    def restore():
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+    request.addfinalizer(restore)
+    hot = "if(id % 3 = 0, 1L, id % 500)"
+    spark.range(0, 30000, 1, 8).selectExpr("id as order_id", f"{hot} as customer_id").write.parquet(
+        str(tmp_path / "facts")
+    )
+    spark.range(500).selectExpr("id as customer_id", "id % 9 as customer_state").write.parquet(
+        str(tmp_path / "customers")
+    )
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    customers = spark.read.parquet(str(tmp_path / "customers"))
+    report = reports.state_orders(facts, customers)
+    assert sum(row["orders"] for row in report.collect()) == 30000
+    assert "skew=true" in report._jdf.queryExecution().executedPlan().toString()
