@@ -8,17 +8,21 @@ engines add in different orders.
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oracle import oracle_sql as oracle_sql  # noqa: F401  (part of the contract)
-from orderloom.plans import gold, intermediate, quality, reports, staging
-from orderloom.sources import ingest as loading
-from orderloom.sources import warehouse_roles as roles
-from orderloom.sources.shared import shared_path, write_once
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import duckdb_queries  # noqa: E402
+from orderloom.plans import gold, intermediate, quality, reports, staging  # noqa: E402
+from orderloom.sources import ingest as loading  # noqa: E402
+from orderloom.sources import warehouse_roles as roles  # noqa: E402
+from orderloom.sources.shared import shared_path, write_once  # noqa: E402
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 AS_OF = dt.datetime(2024, 1, 31)
@@ -327,3 +331,8 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per model, report, check family and loading step."""
     return {query.__name__: query for query in QUERIES}
+
+
+def oracle_sql() -> dict[str, str]:
+    """The DuckDB SQL each query must agree with."""
+    return duckdb_queries.oracle_sql()

@@ -96,16 +96,14 @@ def _copy(df: DataFrame, splits: Splits) -> DataFrame:
     return _parts(df, splits).withColumn(SALT, F.explode(every)).drop("_parts")
 
 
-def spread_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, splits: Splits | None
-) -> DataFrame:
-    """``left.join(right, key, how)``, an inner or left join, with the hot keys of ``left`` divided.
+def spread_join(left: DataFrame, right: DataFrame, key: str, splits: Splits | None) -> DataFrame:
+    """The inner join ``left.join(right, key)`` with the hot keys of ``left`` divided.
 
     Every pair of matching rows meets in exactly one split, so the result is that of the plain
-    join.
+    join. Both sides are taken to be unbounded and are shuffled and merged: without the hint a
+    compressed file just under the broadcast limit would have the longest table broadcast.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"unsupported join type: {how}")
     if splits is None:
-        return left.join(right, key, how)
-    return _deal(left, splits).join(_copy(right, splits), [key, SALT], how).drop(SALT)
+        return left.hint("merge").join(right, key)
+    dealt, copied = _deal(left, splits), _copy(right, splits)
+    return dealt.hint("merge").join(copied, [key, SALT]).drop(SALT)

@@ -57,22 +57,15 @@ def save_gold(
     models: dict[str, DataFrame],
     database: str = "gold",
     location: str | None = None,
-    order_buckets: int = 0,
 ) -> dict[str, DataFrame]:
     """Replace the gold tables and return the models with their gold part read from the tables.
 
-    fct_daily_sales is computed from the written fct_orders, so the central join runs once. With
-    ``order_buckets`` the order fact is bucketed by order: distinct order counts then need no
-    shuffle of the fact.
+    fct_daily_sales is computed from the written fct_orders, so the central join runs once.
     """
     create_database(spark, database, location)
 
     def save(name: str, rows: DataFrame) -> DataFrame:
-        writer = rows.write
-        if name == "fct_orders" and order_buckets:
-            writer = rows.repartition(order_buckets, "order_id").write
-            writer = writer.bucketBy(order_buckets, "order_id")
-        writer.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+        rows.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
         return spark.table(f"{database}.{name}")
 
     first = [name for name in GOLD_TABLES if name != "fct_daily_sales"]

@@ -48,14 +48,9 @@ def order_items(items: DataFrame) -> DataFrame:
 
 def join_items(items: DataFrame, headers: DataFrame) -> DataFrame:
     """Order items to whatever is kept per header; orders without items and items without a header
-    disappear. An order with too many items for one task is divided.
-
-    Neither side has a bound, so both are shuffled and merged. Without the hint a compressed file
-    just under the broadcast limit would have its items, the longest table, broadcast.
-    """
+    disappear. An order with too many items for one task is divided."""
     splits = find_splits(items, "order_id")
-    carried = order_items(items).hint("merge")
-    lines = spread_join(carried, headers, "order_id", "inner", splits)
+    lines = spread_join(order_items(items), headers, "order_id", splits)
     return lines.withColumns(
         {
             "order_line_id": order_line_id("order_id", "order_item_id"),

@@ -136,9 +136,3 @@ def test_run_and_rerun_replace_everything(spark, tmp_path):
     assert spark.table("rerun_gold.fct_orders").count() == 4
     assert spark.table("rerun_raw.olist_orders").count() == 4
 
-
-def test_bucketed_order_fact_needs_no_shuffle_for_distinct_orders(spark, mart):
-    saved = build.save_gold(spark, mart, "bucketed_gold", order_buckets=4)
-    orders = saved["fct_orders"].groupBy("order_id").count()
-    assert "Exchange" not in orders._jdf.queryExecution().executedPlan().toString()
-    assert orders.count() == 3

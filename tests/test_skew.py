@@ -48,14 +48,13 @@ def test_hot_keys_are_found(divide, lines):
     assert found[7] > 50
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_divided_join_equals_plain_join(divide, spark, lines, how):
+def test_divided_join_equals_plain_join(divide, spark, lines):
     right = spark.sql("select explode(sequence(0, 800)) as k").selectExpr(
         "cast(k as bigint) as k", "k * 10 as w"
     )
     right = right.unionAll(spark.sql("select 7L as k, -1 as w"))  # a repeated key on the right
-    divided = spread_join(lines, right, "k", how, find_splits(lines, "k"))
-    plain = lines.join(right, "k", how)
+    divided = spread_join(lines, right, "k", find_splits(lines, "k"))
+    plain = lines.join(right, "k")
     assert divided.columns == plain.columns
     assert same(divided, plain)
     assert divided.count() == plain.count()
@@ -68,11 +67,6 @@ def test_hot_rows_spread_over_tasks(divide, lines):
     assert max(row["count"] for row in salts) < 2000 / 2
 
 
-def test_unknown_join_type(lines):
-    with pytest.raises(ValueError):
-        spread_join(lines, lines, "k", "full", None)
-
-
 def test_mart_is_the_same_with_divided_orders(divide, spark):
     items = roles.order_items(spark, SMALL)
     hot = items.withColumn("order_id", F.expr("if(product_id % 3 = 0, 5L, order_id)"))
