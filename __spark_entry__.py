@@ -7,7 +7,6 @@ engines add in different orders.
 
 from __future__ import annotations
 
-import datetime as dt
 import sys
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -25,7 +24,7 @@ from orderloom.sources import warehouse_roles as roles  # noqa: E402
 from orderloom.sources.shared import shared_path, write_once  # noqa: E402
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
-AS_OF = dt.datetime(2024, 1, 31)
+AS_OF = "timestamp_ntz'2024-01-31 00:00:00'"
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -249,8 +248,7 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    as_of = F.lit(AS_OF).cast("timestamp_ntz")
-    verdicts = quality.freshness(roles.loads(spark, sf_dir), as_of)
+    verdicts = quality.freshness(roles.loads(spark, sf_dir), F.expr(AS_OF))
     return verdicts.withColumn("max_loaded_at", F.expr("cast(max_loaded_at as timestamp_ntz)"))
 
 
