@@ -23,6 +23,11 @@ from orderloom.sources import ingest as loading  # noqa: E402
 from orderloom.sources import warehouse_roles as roles  # noqa: E402
 from orderloom.sources.shared import shared_path, write_once  # noqa: E402
 
+try:  # the training-data operators are a part that can be left out
+    from orderloom.llm import queries as llm
+except ModuleNotFoundError:
+    llm = None
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 AS_OF = "timestamp_ntz'2024-01-31 00:00:00'"
 
@@ -327,10 +332,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """One entry per model, report, check family and loading step."""
-    return {query.__name__: query for query in QUERIES}
+    """One entry per model, report, check family and loading step, and per training-data operator."""
+    own = {query.__name__: query for query in QUERIES}
+    return own | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    """The DuckDB SQL each query must agree with."""
-    return duckdb_queries.oracle_sql()
+    """The DuckDB SQL each query must agree with, where SQL can express it."""
+    return duckdb_queries.oracle_sql() | (llm.oracle_sql() if llm else {})

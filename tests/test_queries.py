@@ -14,15 +14,19 @@ def con():
     return duck(SMALL)
 
 
+NAMES = sorted(query.__name__ for query in driver.QUERIES)
+
+
 def test_keys_match():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(NAMES) <= set(driver.queries())
+    assert set(NAMES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, con, name):
     ours = driver.queries()[name](spark, SMALL).toPandas()
     assert difference(ours, con.execute(driver.oracle_sql()[name]).df()) is None
