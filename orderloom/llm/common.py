@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.sources.shared import shared_path, write_once
 
 __all__ = [
-    "WORD", "connected", "documents", "key_remainder", "shared_path", "table", "text_bytes",
-    "width", "write_once",
+    "WORD", "connected", "documents", "key_remainder", "sampled", "shared_path", "table",
+    "text_bytes", "width", "write_once",
 ]
 
 #: A word: what stands between ASCII white space. ``bytes.split()`` splits exactly so.
@@ -34,6 +34,16 @@ def text_bytes(text: str) -> Column:
     return F.expr(f"coalesce(cast({text} as binary), X'')")
 
 
+def sampled(df: DataFrame, columns: list[str], by: str, slots: int) -> list[Row]:
+    """At most ``slots`` rows for the driver: of each slot of the hash ``by`` the row that has the
+    smallest. Tasks keep one row a slot before the shuffle, so nothing grows with the input."""
+    rows = df.selectExpr(*columns, f"{by} as _h")
+    least = rows.groupBy(F.expr(f"pmod(_h, {slots})").alias("_slot")).agg(
+        F.expr(f"min_by(struct({', '.join(columns)}), _h)").alias("row")
+    )
+    return [r.row for r in least.select("row").collect()]
+
+
 def width(spark: SparkSession) -> int:
     """How many tasks a shuffle of this session has."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, mixing, oracles, sharding, toxicity, urls
+from . import bpe, language, mixing, neighbours, oracles, quantised, sharding, toxicity, urls
 from .common import documents
 
 #: The vocabulary of the queries; the operators take any rank file and pattern.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search_embeddings(spark, sf_dir)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, sf_dir))
 
@@ -20,6 +24,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantised.dedup_embeddings(spark, sf_dir)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
@@ -36,7 +44,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(spark, sf_dir)
 
 
-QUERIES = (op2_mixing, op3_sharding, op5_byte_bpe, op6_toxicity, op8_language_id, op9_url_filters)
+QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op8_language_id, op9_url_filters)
 
 
 def queries():

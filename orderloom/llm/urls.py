@@ -15,10 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, width
+from .common import sampled, table, width
 
 #: Keys that the cuts between ranges are taken from.
-SAMPLE = 20_000
+SAMPLE = 16_384
 #: Ends a host in a key, and stands between its labels. Both sort before every character of a host:
 #: a host is followed at once by its subdomains, so what a rule covers is one interval.
 END, DOT = "\x00", "\x01"
@@ -145,7 +145,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", carry: Seq
     )
     page = page.selectExpr("*", f"{KEY} as key", f"xxhash64({', '.join(names)}, path) as salt")
     # A bounded sample only places the cuts between ranges; every row is judged.
-    seen = page.select("key", "salt").orderBy(F.expr("xxhash64(key, salt)")).limit(SAMPLE).collect()
+    seen = sampled(page, ["key", "salt"], "xxhash64(key, salt)", SAMPLE)
     keys, n = sorted((r.key, r.salt) for r in seen), width(spark)
     cuts = sorted({keys[len(keys) * i // n] for i in range(1, n)}) if keys else []
     rule = rules.selectExpr(
