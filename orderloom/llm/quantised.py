@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import connected, sampled, table, width, write_once
+from .runs import pairs_in_runs, whole_runs
 from .vectors import common_size, matrix, norms, scaled, usable
 
 #: Fitted sample, rounds of the fit.
@@ -76,70 +77,30 @@ def _tables(directions: np.ndarray, tables: int, bits: int, size: int):
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint16)
 
 
-def _pairs_of_runs(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs i < j within each run, some million at a time."""
-    sizes = ends - starts
-    work = sizes * (sizes - 1) // 2
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(work) // 1_000_000)) + 1, [len(sizes)]])
-    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-        s, n = starts[low:high], sizes[low:high]
-        # Row i of a run is paired with the n - 1 - i rows behind it.
-        left = np.repeat(s, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        behind = np.repeat(s + n, n) - left - 1
-        i = np.repeat(left, behind)
-        j = i + 1 + np.arange(behind.sum()) - np.repeat(np.cumsum(behind) - behind, behind)
-        yield i, j
-
-
 def _candidates(most: int, tables: int, bits: int):
-    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        """Candidates of whole runs of one bucket and block pair."""
+    def found(rows: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Candidates among whole runs, each of one bucket and pair of blocks."""
         n = rows.num_rows
-        if n < 2:
-            return
-        keys = np.stack([rows["label"].to_numpy(), *(rows[k].to_numpy().astype(np.int64) for k in ("t", "chunk", "_a", "_b"))])
-        new = np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
-        starts = np.flatnonzero(new)
-        ends = np.append(starts[1:], n)
-        ids, mine, t = rows["c"].to_numpy(), rows["_mine"].to_numpy(), keys[1]
-        same = keys[3] == keys[4]
+        ids, mine, t = rows["c"].to_numpy(), rows["_mine"].to_numpy(), rows["t"].to_numpy()
+        same = rows["_a"].to_numpy() == rows["_b"].to_numpy()
         code = np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(n, -1)
         chunk = np.unpackbits(code, axis=1)[:, : tables * bits].reshape(n, tables, bits) @ (1 << np.arange(bits))
-        for i, j in _pairs_of_runs(starts, ends):
+        for left, right in pairs_in_runs(starts, ends):
             # Two blocks of one bucket: only pairs across; a block with itself: all.
-            ok = same[i] | (mine[i] != mine[j])
-            i, j = i[ok], j[ok]
-            keep = np.zeros(len(i), bool)
-            for s in range(0, len(i), 200_000):
-                a, b = i[s : s + 200_000], j[s : s + 200_000]
+            ok = same[left] | (mine[left] != mine[right])
+            left, right = left[ok], right[ok]
+            for s in range(0, len(left), 200_000):
+                a, b = left[s : s + 200_000], right[s : s + 200_000]
                 near = _ONES[code[a] ^ code[b]].sum(axis=1) <= most
                 a, b = a[near], b[near]
                 # Reported by the first table in which the two meet.
                 first = (chunk[a] == chunk[b]).argmax(axis=1) == t[a]
-                keep[s + np.flatnonzero(near)[first]] = True
-            i, j = i[keep], j[keep]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names=["a", "b"]
-            )
+                a, b = ids[a[first]], ids[b[first]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+                )
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted; the last run of a batch is kept for the next. It has at most 2 * BLOCK rows."""
-        held = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if held is not None:
-                rows = pa.concat_tables([held, rows])
-            last = np.ones(rows.num_rows, bool)
-            for k in ("label", "t", "chunk", "_a", "_b"):
-                values = rows[k].to_numpy()
-                last &= values == values[-1]
-            cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
-            yield from found(rows.slice(0, cut))
-            held = rows.slice(cut)
-        if held is not None:
-            yield from found(held)
-
-    return run
+    return lambda batches: whole_runs(batches, ("label", "t", "chunk", "_a", "_b"), found)
 
 
 def _near(least: float, size: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,8 +145,6 @@ def links(classes: DataFrame, least: float, size: int, tables: int = TABLES, bit
     ).selectExpr(*key, "c", "code", "_mine", "least(_mine, _other) as _a", "greatest(_mine, _other) as _b")
     rows = rows.repartition(width(classes.sparkSession), *key, "_a", "_b").sortWithinPartitions(*key, "_a", "_b")
     pairs = rows.mapInArrow(_candidates(most, tables, bits), "a long, b long")
-    # A code may sit in either half of a block pair twice, and blocks are sized by chance: distinct.
-    pairs = pairs.distinct()
     vectors = classes.select("c", "v")
     both = pairs.join(vectors.toDF("a", "va"), "a").join(vectors.toDF("b", "vb"), "b").select("a", "b", "va", "vb")
     return both.mapInArrow(partial(_near, least, size), "a long, b long")

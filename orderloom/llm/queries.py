@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, mixing, neighbours, oracles, quantised, sharding, toxicity, urls
+from . import bpe, forest, language, mixing, neighbours, oracles, quantised, sharding, toxicity, urls
 from .common import documents
 
 #: The vocabulary of the queries; the operators take any rank file and pattern.
@@ -44,7 +44,11 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(spark, sf_dir)
 
 
-QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op8_language_id, op9_url_filters)
+def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.dedup_documents(spark, sf_dir)
+
+
+QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op8_language_id, op9_url_filters, op10_minhash_forest)
 
 
 def queries():

@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from .common import documents, key_remainder, table
 
-#: The fitted sample: so many labelled texts of each class by smallest hash, and so much of each.
+#: The fitted sample: so many labelled texts of each class by hash, and so much of each.
 TEXTS, CHARS = 2000, 20_000
 #: Landmarks of each class, and distinct clean words learnt from.
-LANDMARKS, CLEAN_WORDS = 96, 60_000
+LANDMARKS, CLEAN_WORDS = 96, 40_000
 #: Letters of the kernel, the weight of each character a subsequence spans, and its longest span.
 LETTERS, DECAY, SPAN = 64, 0.6, 5
 #: Longer words are read in windows.
@@ -91,25 +91,34 @@ def _norm(codes: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(total, least))
 
 
-def _kernel(words: Sequence[str], spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Kernel of each window with every landmark; ``spread``: triples by landmarks."""
-    codes, owner = _codes(words)
-    out = np.zeros((len(codes), spread.shape[1]))
-    for found, weight in _triples(codes):
-        for column in found.T:
-            has = column >= 0
-            out[has] += weight * spread[column[has]]
-    return out / _norm(codes)[:, None], owner
-
-
-def _landmark_triples(landmarks: Sequence[str]) -> np.ndarray:
-    codes, owner = _codes(landmarks)
-    spread = np.zeros((LETTERS**3, len(landmarks)), np.float32)
-    norm = _norm(codes)
-    for found, weight in _triples(codes):
-        rows, columns = np.nonzero(found >= 0)
-        np.add.at(spread, (found[rows, columns], owner[rows]), weight / norm[rows])
-    return spread
+class Landmarks:
+    """Weights of the landmarks' subsequences; ``at`` finds a subsequence's row, 0 for none."""
+
+    def __init__(self, words: Sequence[str]):
+        codes, owner = _codes(words)
+        norm = _norm(codes)
+        each = list(_triples(codes))
+        used = np.unique(np.concatenate([found[found >= 0] for found, _ in each]))
+        self.at = np.zeros(LETTERS**3, np.int32)
+        self.at[used] = np.arange(1, len(used) + 1)
+        self.spread = np.zeros((len(used) + 1, len(words)), np.float32)
+        for found, weight in each:
+            rows, columns = np.nonzero(found >= 0)
+            np.add.at(self.spread, (self.at[found[rows, columns]], owner[rows]), weight / norm[rows])
+
+    def kernel(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Kernel of each window of the words with every landmark, and the word of each window."""
+        codes, owner = _codes(words)
+        out = np.zeros((len(codes), self.spread.shape[1]))
+        for found, weight in _triples(codes):
+            for column in found.T:
+                has = np.flatnonzero(column >= 0)
+                out[has] += weight * self.spread[self.at[column[has]]]
+        return out / _norm(codes)[:, None], owner
+
+    def folded(self, weights: np.ndarray) -> np.ndarray:
+        """Weights of the landmarks as weights of triples."""
+        return (self.spread @ weights)[self.at]
 
 
 def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -202,15 +211,15 @@ def train(toxic: Sequence[str], clean: Sequence[str]) -> Model:
     known = ordered[:CLEAN_WORDS]
     landmarks = marked[:LANDMARKS] + known[:: max(1, len(known) // LANDMARKS)][:LANDMARKS]
     landmarks = [w[: WINDOW - 1] for w in landmarks]
-    spread = _landmark_triples(landmarks)
-    values, vectors = np.linalg.eigh(_kernel(landmarks, spread)[0])
+    space = Landmarks(landmarks)
+    values, vectors = np.linalg.eigh(space.kernel(landmarks)[0])
     use = values > 1e-4 * values.max()
     whiten = vectors[:, use] / np.sqrt(values[use])
     examples = [(w, marks[w]) for w in marked]
     examples += [(v, 0.5 * marks[w] / len(w)) for w in marked if len(w) > 3 for v in _with_inserts(w)]
-    kernel, owner = _kernel([w for w, _ in examples], spread)
+    kernel, owner = space.kernel([w for w, _ in examples])
     positives, pull = kernel @ whiten, np.array([examples[i][1] for i in owner], float)
-    negatives, owner_of = _kernel(known, spread)
+    negatives, owner_of = space.kernel(known)
     negatives = negatives @ whiten
     push = np.array([clean_count[known[i]] for i in owner_of], float)
     push = 0.5 / len(push) + 0.5 * push / push.sum()
@@ -219,23 +228,23 @@ def train(toxic: Sequence[str], clean: Sequence[str]) -> Model:
             np.vstack([positives, negatives]), np.r_[np.ones(len(positives)), -np.ones(len(negatives))],
             np.r_[pull / pull.sum(), push] * 1000,
         )
-        model = Model(spread @ (whiten @ w[:-1]), w[-1])
+        model = Model(space.folded(whiten @ w[:-1]), w[-1])
         value = model.decide(ordered)
         hard = [ordered[i] for i in np.argsort(-value, kind="stable")[:2000] if value[i] > -0.5]
         if not hard:
             break
-        more = _kernel(hard, spread)[0] @ whiten
+        more = space.kernel(hard)[0] @ whiten
         negatives = np.vstack([negatives, more])
         push = np.r_[push, np.full(len(more), 2.0 / max(100, len(more)))]
     return model
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[str]]:
-    """The fitted sample: TEXTS labelled texts of each class with the smallest hash, cut at CHARS."""
+    """The fitted sample: of each class the label of smallest hash in each of TEXTS slots; texts cut at CHARS."""
     chosen = labels.where("toxic is not null and doc_id is not null").selectExpr(
         "cast(doc_id as bigint) as id", "if(toxic = 0, 0, 1) as toxic", "xxhash64(doc_id, 6) as h"
     )
-    chosen = chosen.selectExpr("*", "row_number() over (partition by toxic order by h, id) as n").where(f"n <= {TEXTS}")
+    chosen = chosen.groupBy("toxic", F.expr(f"pmod(h, {TEXTS})").alias("slot")).agg(F.min_by("id", "h").alias("id"))
     found = docs.selectExpr("cast(doc_id as bigint) as id", f"substring(text, 1, {CHARS}) as start").join(
         F.broadcast(chosen.select("id", "toxic")), "id"  # 2 * TEXTS rows
     ).where("start is not null").orderBy("id", "start").limit(4 * TEXTS).collect()
