@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 
@@ -299,7 +300,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str =
     codec = _codec_of(df.sparkSession, path, pattern)
 
     def work(column):
-        rows = [np.array(x or [], "<u4").tobytes() for x in column.to_pylist()]
+        # Null arrays have no ids, so the lengths give the places of the others.
+        sizes = pa.compute.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes) * 4
+        data = column.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+        rows = [data[e - 4 * n : e] for e, n in zip(ends, sizes, strict=True)]
         return pa.array([codec().decode(x) for x in rows], pa.binary())
 
     return _added(df, ids, data, "binary", work)

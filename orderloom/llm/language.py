@@ -47,7 +47,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, by
 
 
 class Compressors:
-    """One compressor for each language; built once in a Python process."""
+    """One compressor for each language."""
 
     def __init__(self, contents: dict[str, bytes]):
         self.names = list(contents)
@@ -73,7 +73,7 @@ class Compressors:
         if len(sizes) == 1:
             return self.names[best], score, False
         second = np.partition(sizes, 1)[1]
-        narrow = len(data) >= SHORT and second - sizes[best] < MARGIN * second
+        narrow = bool(len(data) >= SHORT and second - sizes[best] < MARGIN * second)
         return self.names[best], score, narrow
 
 
@@ -85,13 +85,10 @@ def predict(df: DataFrame, contents: dict[str, bytes], text: str = "text", carry
     """
     # Bounded: MAX_LANGUAGES times TEXTS times CHARS at the most.
     sent = df.sparkSession.sparkContext.broadcast(contents)
-    kept: dict = {}
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*carry).schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not kept:
-            kept[0] = Compressors(sent.value)
-        judge = kept[0]
+        judge = Compressors(sent.value)
         for batch in batches:
             found = [judge.judge(t) for t in batch.column(len(carry)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -99,12 +96,26 @@ def predict(df: DataFrame, contents: dict[str, bytes], text: str = "text", carry
                     *batch.columns[: len(carry)],
                     pa.array([f[0] for f in found], pa.string()),
                     pa.array([f[1] for f in found], pa.float64()),
-                    pa.array([bool(f[2]) for f in found], pa.bool_()),
+                    pa.array([f[2] for f in found], pa.bool_()),
                 ],
                 names=[*carry, "lang_pred", "score", "rejected"],
             )
 
-    return df.select(*carry, F.col(text)).mapInArrow(run, schema + ", lang_pred string, score double, rejected boolean")
+    return df.select(*carry, F.col(text).alias("_text")).mapInArrow(run, schema + ", lang_pred string, score double, rejected boolean")
+
+
+def keep(df: DataFrame, contents: dict[str, bytes], text: str = "text") -> DataFrame:
+    """The rows whose text is not rejected, with all their columns."""
+    sent = df.sparkSession.sparkContext.broadcast(contents)
+    at = df.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Compressors(sent.value)
+        for batch in batches:
+            found = [not judge.judge(t)[2] for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(found, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
 
 
 #: A document with this remainder is held out and teaches nothing.

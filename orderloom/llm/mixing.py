@@ -207,3 +207,20 @@ def mix_documents(docs: DataFrame, seed: int = 20) -> DataFrame:
         "c0 as doc_id", "size", "source_size", "target", "size * copies as taken",
         "sources[0] as source",
     )
+
+
+#: SQL for the columns that tell rows apart.
+KEYS = ("coalesce(cast(doc_id as bigint), -9223372036854775808)", "xxhash64(text)", "xxhash64(text, 1)")
+
+
+def repeat(docs: DataFrame, seed: int = 20) -> DataFrame:
+    """The mix itself: each row with all its columns as often as the mix takes it.
+
+    Repeated rows (same doc_id and text) add up what is taken of each and may change places.
+    """
+    keys = ["_id", "_h1", "_h2"]
+    mixed = mix(docs, "array(cast(source as string))", WORDS, KEYS, seed=seed)
+    times = mixed.where("copies > 0").toDF(*keys, *mixed.columns[3:]).groupBy(*keys).agg(F.sum("copies").alias("_times"))
+    named = docs.withColumns(dict(zip(keys, map(F.expr, KEYS), strict=True)))
+    once = named.join(times, keys).dropDuplicates(keys)
+    return once.withColumn("_time", F.explode(F.expr("sequence(1, int(_times))"))).select(*docs.columns)

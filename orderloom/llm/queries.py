@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, forest, language, mixing, neighbours, oracles, quantised, sharding, toxicity, urls
+from . import bpe, forest, hmm, language, mixing, neighbours, oracles, quantised, sharding, toxicity, urls
 from .common import documents
 
 #: The vocabulary of the queries; the operators take any rank file and pattern.
@@ -36,6 +36,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(spark, sf_dir)
 
 
+def op7_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_documents(spark, sf_dir)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_documents(spark, sf_dir)
 
@@ -48,7 +52,7 @@ def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.dedup_documents(spark, sf_dir)
 
 
-QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op8_language_id, op9_url_filters, op10_minhash_forest)
+QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op7_hidden_markov, op8_language_id, op9_url_filters, op10_minhash_forest)
 
 
 def queries():

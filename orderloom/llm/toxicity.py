@@ -251,29 +251,50 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[str]]:
     return [r.start for r in found if r.toxic], [r.start for r in found if not r.toxic]
 
 
+class Scorer:
+    """Scores texts and remembers the words it has met; one for each Python process."""
+
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
+
+    def __call__(self, texts: Sequence[str | None]) -> list[float]:
+        out = []
+        for start in range(0, len(texts), 1000):
+            bags = [set(words_of(t or "")) for t in texts[start : start + 1000]]
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            new = list(set().union(*bags).difference(self.known))
+            self.known.update(zip(new, self.model.decide(new).tolist(), strict=True))
+            out += [score(max(map(self.known.__getitem__, b), default=self.model.bias)) for b in bags]
+        return out
+
+
 def predict(df: DataFrame, model: Model, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns with the score (0 to 1) of each whole text; a null, empty or wordless
     text scores as a text without any similarity to a landmark."""
     sent = df.sparkSession.sparkContext.broadcast(model)  # fixed size
-    known: dict[str, float] = {}
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*carry).schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                texts = [set(words_of(t or "")) for t in batch.column(len(carry)).to_pylist()]
-                if len(known) > REMEMBERED:
-                    known.clear()
-                new = list(set().union(*texts).difference(known))
-                known.update(zip(new, model.decide(new).tolist(), strict=True))
-                scores = [score(max(map(known.__getitem__, t), default=model.bias)) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[: len(carry)], pa.array(scores, pa.float64())], names=[*carry, "score"]
-                )
-
-    return df.select(*carry, F.col(text)).mapInArrow(run, schema + ", score double")
+        scorer = Scorer(sent.value)
+        for batch in batches:
+            scores = pa.array(scorer(batch.column(len(carry)).to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], scores], names=[*carry, "score"])
+
+    return df.select(*carry, F.col(text).alias("_text")).mapInArrow(run, schema + ", score double")
+
+
+def keep(df: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose text scores below the threshold, with all their columns."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(sent.value)
+        for batch in batches:
+            yield batch.filter(pa.array([s < threshold for s in scorer(batch.column(at).to_pylist())], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
 
 
 #: A document with remainder 1 is held out and teaches nothing.
