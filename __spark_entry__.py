@@ -24,6 +24,7 @@ from orderloom.sources import warehouse_roles as roles  # noqa: E402
 from orderloom.sources.shared import shared_path, write_once  # noqa: E402
 
 try:  # the training-data operators are a part that can be left out
+    import corpus_pipeline
     from orderloom.llm import queries as llm
 except ModuleNotFoundError:
     llm = None
@@ -334,7 +335,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per model, report, check family and loading step, and per training-data operator."""
     own = {query.__name__: query for query in QUERIES}
-    return own | (llm.queries() if llm else {})
+    return own | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
