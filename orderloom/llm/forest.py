@@ -246,7 +246,7 @@ def dedup(docs: DataFrame, n: int = 5, least: int = 80, key: str = "doc_id", tex
     owner = "min(struct(id is null as last, id, h1, h2))"
     found = read.where("n > 0").select("id", "h1", "h2", "k", "n").join(named.select("k", "part"), "k")
     found = write_once(found.select("id", "h1", "h2", "n", "part"), "found")
-    best = found.groupBy("part").agg(F.expr(owner).alias("best"))
+    best = write_once(found.groupBy("part").agg(F.expr(owner).alias("best")), "best")
     linked = found.join(best, "part").selectExpr(
         "id", "h1", "h2", "n as n_shingles", "best.id as component_id",
         "best.id <=> id and best.h1 = h1 and best.h2 = h2 as first",

@@ -24,15 +24,17 @@ from pyspark.sql import functions as F
 from .common import documents, key_remainder, table
 
 #: The fitted sample: so many labelled texts of each class by hash, and so much of each.
-TEXTS, CHARS = 2000, 20_000
+TOXIC_TEXTS, CLEAN_TEXTS, CHARS = 2000, 4000, 20_000
 #: Landmarks of each class, and distinct clean words learnt from.
 LANDMARKS, CLEAN_WORDS = 96, 40_000
+#: Rounds of fitting, each with the clean words that the one before took for toxic.
+ROUNDS = 3
 #: Letters of the kernel, the weight of each character a subsequence spans, and its longest span.
 LETTERS, DECAY, SPAN = 64, 0.6, 5
 #: Longer words are read in windows.
 WINDOW = 24
 SHORT = 4
-#: Of the curve from decision values to scores: 0.7 is reached at 0.28, between the two margins.
+#: Of the curve from decision values to scores.
 STEEPNESS = 3.0
 REMEMBERED = 300_000
 THRESHOLD = 0.7
@@ -59,7 +61,7 @@ def _codes(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Windows of the words as rows of letter numbers, 0 for none, and the word of each row."""
     rows, owner = [], []
     for i, word in enumerate(words):
-        word = "^" + plain(word)
+        word = f"^{plain(word)}$"
         for start in range(0, max(1, len(word) - WINDOW // 2), WINDOW // 2):
             rows.append(word[start : start + WINDOW])
             owner.append(i)
@@ -67,8 +69,10 @@ def _codes(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
                 break
     wide = max(map(len, rows), default=1)
     points = np.array(rows, dtype=f"<U{wide}").view(np.uint32).reshape(len(rows), wide) if rows else np.zeros((0, 1), np.uint32)
-    letters = np.where((points >= 97) & (points <= 122), points - 96, points % 36 + 27)
-    return np.where(points == 0, 0, np.where(points == 94, 63, letters)).astype(np.int64), np.array(owner, np.int64)
+    points = points.astype(np.int64)
+    letters = np.where((points >= 97) & (points <= 122), points - 96, points % 35 + 27)
+    letters = np.select([points == 0, points == 94, points == 36], [0, 63, 62], letters)
+    return letters, np.array(owner, np.int64)
 
 
 def _triples(codes: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
@@ -87,7 +91,7 @@ def _norm(codes: np.ndarray) -> np.ndarray:
     for found, weight in _triples(codes):
         total += (found >= 0).sum(axis=1) * weight**2
     for _, j, weight in GAPS:
-        least += max(0, SHORT + 1 - j) * weight**2
+        least += max(0, SHORT + 2 - j) * weight**2
     return np.sqrt(np.maximum(total, least))
 
 
@@ -158,7 +162,9 @@ class Model:
 
 
 def score(decision: float) -> float:
-    return float(1.0 / (1.0 + np.exp(-STEEPNESS * np.clip(decision, -50, 50))))
+    """0 to 1; THRESHOLD at decision 0."""
+    odds = np.log(THRESHOLD / (1 - THRESHOLD))
+    return float(1.0 / (1.0 + np.exp(-STEEPNESS * np.clip(decision, -50, 50) - odds)))
 
 
 def _significant(toxic_bags: list[set[str]], clean: Counter, n_clean: int) -> dict[str, int]:
@@ -210,44 +216,59 @@ def train(toxic: Sequence[str], clean: Sequence[str]) -> Model:
     ordered = [w for w in ordered if w not in marks]
     known = ordered[:CLEAN_WORDS]
     landmarks = marked[:LANDMARKS] + known[:: max(1, len(known) // LANDMARKS)][:LANDMARKS]
-    landmarks = [w[: WINDOW - 1] for w in landmarks]
-    space = Landmarks(landmarks)
-    values, vectors = np.linalg.eigh(space.kernel(landmarks)[0])
-    use = values > 1e-4 * values.max()
-    whiten = vectors[:, use] / np.sqrt(values[use])
+    landmarks = [w[: WINDOW - 2] for w in landmarks]
     examples = [(w, marks[w]) for w in marked]
     examples += [(v, 0.5 * marks[w] / len(w)) for w in marked if len(w) > 3 for v in _with_inserts(w)]
-    kernel, owner = space.kernel([w for w, _ in examples])
-    positives, pull = kernel @ whiten, np.array([examples[i][1] for i in owner], float)
-    negatives, owner_of = space.kernel(known)
-    negatives = negatives @ whiten
-    push = np.array([clean_count[known[i]] for i in owner_of], float)
-    push = 0.5 / len(push) + 0.5 * push / push.sum()
-    for _ in range(3):
+    hard: list[str] = []
+    for _ in range(ROUNDS):
+        space = Landmarks(landmarks)
+        values, vectors = np.linalg.eigh(space.kernel(landmarks)[0])
+        use = values > 1e-4 * values.max()
+        whiten = vectors[:, use] / np.sqrt(values[use])
+        kernel, owner = space.kernel([w for w, _ in examples])
+        pull = np.array([examples[i][1] for i in owner], float)
+        negatives, owner_of = space.kernel(known + hard)
+        frequent = np.array([clean_count[known[i]] if i < len(known) else 0 for i in owner_of], float)
+        push = 0.5 / len(owner_of) + 0.5 * frequent / frequent.sum() + np.where(owner_of < len(known), 0, 1 / max(100, len(hard)))
         w = _support_vectors(
-            np.vstack([positives, negatives]), np.r_[np.ones(len(positives)), -np.ones(len(negatives))],
+            np.vstack([kernel @ whiten, negatives @ whiten]), np.r_[np.ones(len(owner)), -np.ones(len(owner_of))],
             np.r_[pull / pull.sum(), push] * 1000,
         )
         model = Model(space.folded(whiten @ w[:-1]), w[-1])
         value = model.decide(ordered)
-        hard = [ordered[i] for i in np.argsort(-value, kind="stable")[:2000] if value[i] > -0.5]
-        if not hard:
+        found = [ordered[i] for i in np.argsort(-value, kind="stable")[:2000] if value[i] > -0.5]
+        if not found:
             break
-        more = space.kernel(hard)[0] @ whiten
-        negatives = np.vstack([negatives, more])
-        push = np.r_[push, np.full(len(more), 2.0 / max(100, len(more)))]
-    return model
+        hard += found
+        # What clean words fool the machine most become landmarks too.
+        landmarks += [w[: WINDOW - 2] for w in found if w[: WINDOW - 2] not in landmarks][: LANDMARKS // 2]
+    scorer = Scorer(model)
+    cut = _cut(*(np.array([max(scorer.values(t), default=model.bias) for t in texts]) for texts in (toxic, clean)))
+    return Model(model.triples, model.bias - cut)
+
+
+def _cut(toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The decision value that parts the training texts with the fewest errors: the middle of
+    the gap there."""
+    values = np.unique(np.concatenate([toxic, clean]))
+    below = np.searchsorted(np.sort(toxic), values, side="left")
+    above = len(clean) - np.searchsorted(np.sort(clean), values, side="left")
+    best = int(np.argmin(below + above))
+    low = values[best - 1] if best else values[best] - 1.0
+    return float(low + 0.5 * (values[best] - low))
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[str]]:
-    """The fitted sample: of each class the label of smallest hash in each of TEXTS slots; texts cut at CHARS."""
+    """The fitted sample: of each class the label of smallest hash in each of TOXIC_TEXTS or
+    CLEAN_TEXTS slots; texts are cut at CHARS. Null labels and ids teach nothing."""
     chosen = labels.where("toxic is not null and doc_id is not null").selectExpr(
         "cast(doc_id as bigint) as id", "if(toxic = 0, 0, 1) as toxic", "xxhash64(doc_id, 6) as h"
     )
-    chosen = chosen.groupBy("toxic", F.expr(f"pmod(h, {TEXTS})").alias("slot")).agg(F.min_by("id", "h").alias("id"))
+    slot = F.expr(f"pmod(h, if(toxic = 1, {TOXIC_TEXTS}, {CLEAN_TEXTS}))").alias("slot")
+    chosen = chosen.groupBy("toxic", slot).agg(F.min_by("id", "h").alias("id"))
     found = docs.selectExpr("cast(doc_id as bigint) as id", f"substring(text, 1, {CHARS}) as start").join(
-        F.broadcast(chosen.select("id", "toxic")), "id"  # 2 * TEXTS rows
-    ).where("start is not null").orderBy("id", "start").limit(4 * TEXTS).collect()
+        F.broadcast(chosen.select("id", "toxic")), "id"  # a bounded number of rows
+    ).where("start is not null").orderBy("id", "start").limit(2 * (TOXIC_TEXTS + CLEAN_TEXTS)).collect()
     return [r.start for r in found if r.toxic], [r.start for r in found if not r.toxic]
 
 
@@ -257,14 +278,23 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.known = model, {}
 
+    def _learn(self, bags: list[set[str]]) -> None:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = list(set().union(*bags).difference(self.known))
+        self.known.update(zip(new, self.model.decide(new).tolist(), strict=True))
+
+    def values(self, text: str) -> list[float]:
+        """Decision values of the words of one text."""
+        words = set(words_of(text))
+        self._learn([words])
+        return list(map(self.known.__getitem__, words))
+
     def __call__(self, texts: Sequence[str | None]) -> list[float]:
         out = []
         for start in range(0, len(texts), 1000):
             bags = [set(words_of(t or "")) for t in texts[start : start + 1000]]
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            new = list(set().union(*bags).difference(self.known))
-            self.known.update(zip(new, self.model.decide(new).tolist(), strict=True))
+            self._learn(bags)
             out += [score(max(map(self.known.__getitem__, b), default=self.model.bias)) for b in bags]
         return out
 
