@@ -26,7 +26,7 @@ from .common import documents, key_remainder, table
 #: The fitted sample: so many labelled texts of each class by hash, and so much of each.
 TOXIC_TEXTS, CLEAN_TEXTS, CHARS = 2000, 4000, 20_000
 #: Landmarks of each class, and distinct clean words learnt from.
-LANDMARKS, CLEAN_WORDS = 96, 40_000
+LANDMARKS, CLEAN_WORDS = 96, 25_000
 #: Rounds of fitting, each with the clean words that the one before took for toxic.
 ROUNDS = 3
 #: Letters of the kernel, the weight of each character a subsequence spans, and its longest span.
@@ -113,12 +113,13 @@ class Landmarks:
     def kernel(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Kernel of each window of the words with every landmark, and the word of each window."""
         codes, owner = _codes(words)
-        out = np.zeros((len(codes), self.spread.shape[1]))
+        out = np.zeros((len(codes), self.spread.shape[1]), np.float32)
         for found, weight in _triples(codes):
             for column in found.T:
                 has = np.flatnonzero(column >= 0)
                 out[has] += weight * self.spread[self.at[column[has]]]
-        return out / _norm(codes)[:, None], owner
+        out /= _norm(codes)[:, None].astype(np.float32)
+        return out, owner
 
     def folded(self, weights: np.ndarray) -> np.ndarray:
         """Weights of the landmarks as weights of triples."""
@@ -127,14 +128,15 @@ class Landmarks:
 
 def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
     """Linear machine with squared hinge loss, by Newton steps; the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     w = np.zeros(x.shape[1])
     hold = ridge * np.eye(len(w))
     hold[-1, -1] = 1e-6
     for _ in range(30):
         near = y * (x @ w) < 1
-        part = x[near] * weight[near, None]
-        new = np.linalg.solve(part.T @ x[near] + hold, part.T @ y[near])
+        part = x[near].astype(float)
+        pull = part * weight[near, None]
+        new = np.linalg.solve(pull.T @ part + hold, pull.T @ y[near])
         if np.abs(new - w).max() < 1e-6:
             break
         w = 0.5 * (w + new) if _ > 15 else new
@@ -167,17 +169,25 @@ def score(decision: float) -> float:
     return float(1.0 / (1.0 + np.exp(-STEEPNESS * np.clip(decision, -50, 50) - odds)))
 
 
-def _significant(toxic_bags: list[set[str]], clean: Counter, n_clean: int) -> dict[str, int]:
+def _significant(toxic: Counter, n_toxic: int, clean: Counter, n_clean: int) -> dict[str, int]:
     """Words that toxic texts hold and clean ones all but lack, too often for chance.
 
     A word of n texts falls into toxic ones only with probability share ** n; with as many words as
     there are, less than one in ten such finds may be chance.
     """
-    share = len(toxic_bags) / (len(toxic_bags) + n_clean)
-    counts = Counter(w for bag in toxic_bags for w in bag)
-    least = np.log(10 * max(1, len(counts))) / np.log(1 / share)
-    few = 0.05 * n_clean / len(toxic_bags)
-    return {w: n for w, n in counts.items() if n >= least and clean[w] <= few * n and len(w) > 2}
+    least = np.log(10 * max(1, len(toxic))) / np.log((n_toxic + n_clean) / n_toxic)
+    few = 0.05 * n_clean / n_toxic
+    return {w: n for w, n in toxic.items() if n >= least and clean[w] <= few * n and len(w) > 2}
+
+
+def _count(texts: Sequence[str]) -> tuple[Counter, Counter]:
+    """Texts by word, and by the first 4 and 5 letters of longer words."""
+    words, stems = Counter(), Counter()
+    for text in texts:
+        found = {plain(w) for s in SENTENCE.split(text) for w in words_of(s)} - {""}
+        words.update(found)
+        stems.update({w[:n] for w in found for n in (4, 5) if len(w) > n})
+    return words, stems
 
 
 def _with_inserts(word: str) -> list[str]:
@@ -196,16 +206,10 @@ def train(toxic: Sequence[str], clean: Sequence[str]) -> Model:
     toxic, clean = sorted(set(toxic)), sorted(set(clean))
     if not toxic or not clean:
         return nothing
-    split = lambda text: [s for s in map(words_of, SENTENCE.split(text)) if s]
-    bag = lambda text: {plain(w) for s in split(text) for w in s} - {""}
-    stems = lambda words: {w[:n] for w in words for n in (4, 5) if len(w) > n}
-    toxic_bags, clean_count, clean_stems = [bag(t) for t in toxic], Counter(), Counter()
-    for t in clean:
-        found = bag(t)
-        clean_count.update(found)
-        clean_stems.update(stems(found))
-    marks = _significant(toxic_bags, clean_count, len(clean))
-    stem_marks = _significant([stems(b) for b in toxic_bags], clean_stems, len(clean))
+    (toxic_count, toxic_stems), (clean_count, clean_stems) = _count(toxic), _count(clean)
+    marks = _significant(toxic_count, len(toxic), clean_count, len(clean))
+    stem_marks = _significant(toxic_stems, len(toxic), clean_stems, len(clean))
+    del toxic_count, toxic_stems, clean_stems
     for stem, n in stem_marks.items():
         if not any(w.startswith(stem) and k >= 0.5 * n for w, k in marks.items()):
             marks[stem] = n
@@ -222,9 +226,9 @@ def train(toxic: Sequence[str], clean: Sequence[str]) -> Model:
     hard: list[str] = []
     for _ in range(ROUNDS):
         space = Landmarks(landmarks)
-        values, vectors = np.linalg.eigh(space.kernel(landmarks)[0])
+        values, vectors = np.linalg.eigh(space.kernel(landmarks)[0].astype(float))
         use = values > 1e-4 * values.max()
-        whiten = vectors[:, use] / np.sqrt(values[use])
+        whiten = (vectors[:, use] / np.sqrt(values[use])).astype(np.float32)
         kernel, owner = space.kernel([w for w, _ in examples])
         pull = np.array([examples[i][1] for i in owner], float)
         negatives, owner_of = space.kernel(known + hard)
@@ -242,20 +246,26 @@ def train(toxic: Sequence[str], clean: Sequence[str]) -> Model:
         hard += found
         # What clean words fool the machine most become landmarks too.
         landmarks += [w[: WINDOW - 2] for w in found if w[: WINDOW - 2] not in landmarks][: LANDMARKS // 2]
+    del ordered, clean_count, negatives, kernel, value
     scorer = Scorer(model)
-    cut = _cut(*(np.array([max(scorer.values(t), default=model.bias) for t in texts]) for texts in (toxic, clean)))
-    return Model(model.triples, model.bias - cut)
+    reached = ([max(scorer.values(t), default=model.bias) for t in texts] for texts in (toxic, clean))
+    return Model(model.triples, model.bias - _cut(*map(np.sort, reached)))
 
 
 def _cut(toxic: np.ndarray, clean: np.ndarray) -> float:
-    """The decision value that parts the training texts with the fewest errors: the middle of
-    the gap there."""
+    """The decision value to part texts at, from sorted values of the training texts.
+
+    Where all but one in a thousand clean texts stay below all but one in a hundred toxic ones, it
+    lies between the two, nearer to the clean ones, since an insult with a letter inserted comes
+    lower than the insult itself. Else it is the value with the fewest errors.
+    """
+    low, high = np.quantile(toxic, 0.01), np.quantile(clean, 0.999)
+    if low > high:
+        return float(high + 0.4 * (low - high))
     values = np.unique(np.concatenate([toxic, clean]))
-    below = np.searchsorted(np.sort(toxic), values, side="left")
-    above = len(clean) - np.searchsorted(np.sort(clean), values, side="left")
-    best = int(np.argmin(below + above))
-    low = values[best - 1] if best else values[best] - 1.0
-    return float(low + 0.5 * (values[best] - low))
+    wrong = np.searchsorted(toxic, values) + len(clean) - np.searchsorted(clean, values)
+    best = int(np.argmin(wrong))
+    return float((values[best] + values[max(0, best - 1)]) / 2)
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[str]]:
