@@ -7,6 +7,7 @@ engines add in different orders.
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -18,9 +19,11 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import duckdb_queries  # noqa: E402
-from orderloom.plans import gold, intermediate, quality, reports, staging  # noqa: E402
+from orderloom.functions import whole  # noqa: E402
+from orderloom.plans import build, gold, intermediate, quality, reports, staging  # noqa: E402
 from orderloom.sources import ingest as loading  # noqa: E402
 from orderloom.sources import warehouse_roles as roles  # noqa: E402
+from orderloom.sources.csv_tables import read_csv  # noqa: E402
 from orderloom.sources.shared import shared_path, write_once  # noqa: E402
 
 try:  # the training-data operators are a part that can be left out
@@ -31,6 +34,7 @@ except ModuleNotFoundError:
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 AS_OF = "timestamp_ntz'2024-01-31 00:00:00'"
+LOADED_AT = dt.datetime(2024, 1, 30, tzinfo=dt.timezone.utc)
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -171,41 +175,59 @@ def state_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # checks
 
 
-CHECKED = {
-    "olist_orders": roles.orders,
-    "olist_customers": roles.customers,
-    "stg_orders": stg_orders,
-    "stg_customers": stg_customers,
-    "stg_products": stg_products,
-    "stg_sellers": stg_sellers,
-    "stg_payments": stg_payments,
-    "stg_reviews": stg_reviews,
-    "dim_customer": dim_customer,
-    "dim_product": dim_product,
-    "dim_seller": dim_seller,
-    "dim_payment_type": dim_payment_type,
-    "dim_date": dim_date,
-    "fct_orders": _facts,
-    "fct_daily_sales": _daily,
-}
-
-
-def _tables(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> quality.Tables:
-    return {name: CHECKED[name](spark, sf_dir) for name in dict.fromkeys(names)}
+def _first_written(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> quality.Tables:
+    """The tables that several checks read, written once each with the columns the checks read.
+
+    The order items are joined once per written table; the daily fact comes from the written order
+    fact and the dimensions from the written staging tables.
+    """
+    names = set(names)
+    needs = {
+        "fct_daily_sales": "fct_orders",
+        "dim_customer": "stg_customers",
+        "dim_product": "stg_products",
+        "dim_seller": "stg_sellers",
+        "dim_payment_type": "stg_payments",
+    }
+    names |= {needs[name] for name in names if name in needs}
+    sources = {
+        "stg_orders": lambda: stg_orders(spark, sf_dir).select(*quality.NOT_NULL["stg_orders"]),
+        "stg_customers": lambda: stg_customers(spark, sf_dir),
+        "stg_products": lambda: stg_products(spark, sf_dir),
+        "stg_sellers": lambda: stg_sellers(spark, sf_dir),
+        "stg_payments": lambda: stg_payments(spark, sf_dir),
+        "stg_reviews": lambda: stg_reviews(spark, sf_dir),
+        "fct_orders": lambda: _facts(spark, sf_dir).select(*quality.NOT_NULL["fct_orders"]),
+    }
+    chosen = [name for name in sources if name in names]
+    with ThreadPoolExecutor(max(1, len(chosen))) as pool:
+        tables = dict(zip(chosen, pool.map(lambda n: write_once(sources[n](), n), chosen)))
+    derived = {
+        "fct_daily_sales": lambda: write_once(
+            gold.fct_daily_sales(tables["fct_orders"]), "fct_daily_sales"
+        ),
+        "dim_customer": lambda: gold.dim_customer(tables["stg_customers"]),
+        "dim_product": lambda: gold.dim_product(tables["stg_products"]),
+        "dim_seller": lambda: gold.dim_seller(tables["stg_sellers"]),
+        "dim_payment_type": lambda: gold.dim_payment_type(tables["stg_payments"]),
+        "dim_date": lambda: dim_date(spark, sf_dir),
+        "olist_orders": lambda: roles.orders(spark, sf_dir),
+        "olist_customers": lambda: roles.customers(spark, sf_dir),
+    }
+    return tables | {name: derived[name]() for name in names if name in derived}
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _tables(spark, sf_dir, (table for table, _ in quality.UNIQUE))
-    return quality.unique_suite(tables)
+    return quality.unique_suite(_first_written(spark, sf_dir, dict(quality.UNIQUE)))
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.not_null_suite(_tables(spark, sf_dir, quality.NOT_NULL))
+    return quality.not_null_suite(_first_written(spark, sf_dir, quality.NOT_NULL))
 
 
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [name for child, _, parent, _ in quality.RELATIONSHIPS for name in (child, parent)]
-    return quality.relationships_suite(_tables(spark, sf_dir, names))
+    return quality.relationships_suite(_first_written(spark, sf_dir, names))
 
 
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,44 +235,64 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.accepted_range_suite(_tables(spark, sf_dir, quality.ACCEPTED_RANGES))
+    return quality.accepted_range_suite(_first_written(spark, sf_dir, quality.ACCEPTED_RANGES))
 
 
 def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unique_combination_suite({"fct_daily_sales": _daily(spark, sf_dir)})
 
 
+def _both_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    tables = _first_written(spark, sf_dir, ["fct_orders", "fct_daily_sales"])
+    return tables["fct_daily_sales"], tables["fct_orders"]
+
+
 def dq_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _facts(spark, sf_dir)
-    return quality.line_count_matches(gold.fct_daily_sales(facts), facts)
+    return quality.line_count_matches(*_both_facts(spark, sf_dir))
 
 
 def dq_sales_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _facts(spark, sf_dir)
-    return quality.sales_reconcile(gold.fct_daily_sales(facts), facts)
+    return quality.sales_reconcile(*_both_facts(spark, sf_dir))
 
 
-def dq_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Against the years the orders span, and against a calendar one year shorter at both ends."""
-    bounds = gold.order_years(roles.orders(spark, sf_dir))
-    inner = bounds.selectExpr(
+def dq_sales_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals that are reconciled and their difference."""
+    totals = quality.sales_totals(*_both_facts(spark, sf_dir))
+    return totals.selectExpr(*(f"round(cast({c} as double), 2) as {c}" for c in totals.columns))
+
+
+def _inner_years(bounds: DataFrame) -> DataFrame:
+    """One year shorter at both ends."""
+    return bounds.selectExpr(
         "add_months(start_day, 12) as start_day", "add_months(end_day, -12) as end_day"
     )
-    facts = _facts(spark, sf_dir)
+
+
+def dq_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against the years the orders span, and against a calendar one year shorter at both ends."""
+    bounds = write_once(gold.order_years(roles.orders(spark, sf_dir)), "order_years")
+    facts = write_once(_facts(spark, sf_dir).select("order_line_id", "date_key"), "fct_orders")
     return quality.union(
         quality.within_calendar(facts, gold.dim_date(days)).withColumn("calendar", F.lit(name))
-        for name, days in (("order years", bounds), ("inner years", inner))
+        for name, days in (("order years", bounds), ("inner years", _inner_years(bounds)))
+    )
+
+
+def dq_lines_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines that the shorter calendar does not hold."""
+    bounds = write_once(gold.order_years(roles.orders(spark, sf_dir)), "order_years")
+    return quality.lines_outside_calendar(
+        _facts(spark, sf_dir), gold.dim_date(_inner_years(bounds))
     )
 
 
 def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All checks; the fact tables are written once, with the columns the checks read."""
-    checked = quality.NOT_NULL["fct_orders"]
-    facts = write_once(_facts(spark, sf_dir).select(*checked), "fct_orders")
-    daily = write_once(gold.fct_daily_sales(facts), "fct_daily_sales")
-    written = {"fct_orders": facts, "fct_daily_sales": daily}
-    others = [name for name in CHECKED if name not in written]
-    return quality.check_suite({**_tables(spark, sf_dir, others), **written})
+    """All checks, with the mart's own calendar, which does not come from the orders it checks."""
+    tables = _first_written(
+        spark, sf_dir, [*quality.NOT_NULL, *dict(quality.UNIQUE), "stg_customers", "stg_sellers"]
+    )
+    calendar = gold.dim_date(gold.calendar_bounds(spark))
+    return quality.check_suite({**tables, "dim_date": calendar})
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,34 +300,80 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.withColumn("max_loaded_at", F.expr("cast(max_loaded_at as timestamp_ntz)"))
 
 
-# loading
+# writing and loading
+
+
+def _database(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A database of a fixed name, which each run overwrites, and its folder."""
+    database = f"orderloom_{name}"
+    if not spark.catalog.databaseExists(database):
+        loading.create_database(spark, database, shared_path(spark, database))
+    return database, spark.catalog.getDatabase(database).locationUri
+
 
+def gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the written gold tables."""
+    database, _ = _database(spark, "gold")
+    raw = {name: role(spark, sf_dir) for name, role in roles.RAW_ROLES.items()}
+    models = build.build(raw, gold.order_years(raw["olist_orders"]))
+    saved = build.save_gold(spark, models, database)
+    return quality.union(
+        saved[name].selectExpr(f"'{name}' as table_name", "count(*) as row_count")
+        for name in build.GOLD_TABLES
+    )
 
-def _ingested(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]):
-    """Write raw tables as CSV to the shared folder and load them from there."""
-    root = shared_path(spark, "csv")
+
+def _ingested(spark: SparkSession, sf_dir: str, name: str, tables: Iterable[str], loaded_at=None):
+    """Write raw tables as CSV to a shared folder and load them from there."""
+    database, root = _database(spark, name)
 
     def export(table: str) -> None:
         rows = roles.RAW_ROLES[table](spark, sf_dir)
-        rows.write.option("header", True).csv(f"{root}/{table}.csv")
+        rows.write.mode("overwrite").option("header", True).csv(f"{root}/csv/{table}.csv")
 
+    tables = tuple(tables)
     with ThreadPoolExecutor(len(tables)) as pool:
         list(pool.map(export, tables))
-    database = f"orderloom_{root.split('-')[-1].split('/')[0]}"
-    report = loading.ingest(spark, root, database, tables, location=f"{root}/{database}")
+    report = loading.ingest(spark, f"{root}/csv", database, tables, loaded_at)
     return loading.read_raw(spark, database, tables), report
 
 
 def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, _ = _ingested(spark, sf_dir, ("olist_orders", "olist_order_items"))
+    raw, _ = _ingested(spark, sf_dir, "roundtrip", ("olist_orders", "olist_order_items"))
     return staging.stg_orders(raw["olist_orders"], raw["olist_order_items"])
 
 
 def ingest_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, report = _ingested(spark, sf_dir, tuple(loading.RAW_TABLES))
+    _, report = _ingested(spark, sf_dir, "row_counts", loading.RAW_TABLES)
     return report.select("table_name", "row_count")
 
 
+def raw_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age of the eight raw tables, loaded at one fixed instant and looked at from another."""
+    raw, _ = _ingested(spark, sf_dir, "freshness", loading.RAW_TABLES, LOADED_AT)
+    verdicts = build.raw_freshness(raw, LOADED_AT + dt.timedelta(hours=30))
+    return verdicts.select("table_name", "age_seconds", "status")
+
+
+def ingest_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, commas and line breaks through CSV and back."""
+    path = shared_path(spark, "texts.csv")
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
+        "cast(doc_id as string) as doc_id", "concat('\"', replace(text, ' ', ', '), '\"\n') as text"
+    )
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(header=True, escape='"', **kept).csv(path)
+    return read_csv(spark, path, multiline=True)
+
+
+def whole_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimal text as whole numbers."""
+    text = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "l_orderkey", "l_linenumber", "cast(cast(l_quantity * l_discount as decimal(18, 2)) as string) as amount"
+    )
+    return text.select("l_orderkey", "l_linenumber", "amount", whole(text, "amount").alias("whole"))
+
+
 QUERIES = (
     stg_orders,
     stg_customers,
@@ -319,11 +407,17 @@ QUERIES = (
     dq_unique_combination,
     dq_line_count,
     dq_sales_reconcile,
+    dq_sales_totals,
     dq_date_range,
+    dq_lines_outside,
     dq_suite,
     freshness,
+    gold_tables,
     ingest_roundtrip,
     ingest_row_counts,
+    raw_freshness,
+    ingest_quoted,
+    whole_numbers,
 )
 
 

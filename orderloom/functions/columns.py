@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,25 @@ def order_line_id(order_id: str, item_id: str) -> Column:
     )
 
 
+def whole(df: DataFrame, column: str) -> Column:
+    """A column as int. Text may be a decimal number and is rounded, halves away from zero; doubles
+    are rounded, halves to even. Empty text is NULL. Text that is no number and numbers that do not
+    fit stop the query, whether or not the session is in ANSI mode."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind in ("tinyint", "smallint", "int"):
+        return F.expr(f"cast({column} as int)")
+    text = f"nullif(trim(cast({column} as string)), '')"
+    number = f"round(try_cast({text} as decimal(38, 10)), 0)"
+    if kind in ("float", "double"):
+        number = f"rint({column})"
+    wrong = f"raise_error(concat('not a whole number for {column}: ', {text}))"
+    return F.expr(
+        f"case when {text} is null then cast(null as int) "
+        f"when coalesce(abs({number}) <= 2147483647, false) then cast({number} as int) "
+        f"else cast({wrong} as int) end"
+    )
+
+
 def is_weekend(day: str) -> Column:
     """Saturday or Sunday; ``dayofweek`` counts Sunday as 1 and Saturday as 7."""
     return F.expr(f"coalesce(dayofweek({day}) in (1, 7), false)")

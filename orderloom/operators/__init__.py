@@ -1,3 +1,5 @@
-from .skew import Splits, find_splits, spread_join
+"""Joins that Spark's own operators do not cover."""
 
-__all__ = ["Splits", "find_splits", "spread_join"]
+from .skew import deal, hot_keys, spread_join
+
+__all__ = ["deal", "hot_keys", "spread_join"]

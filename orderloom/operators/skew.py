@@ -3,107 +3,71 @@
 Adaptive skew handling only splits a join whose two inputs are bare shuffles. The order-level side
 of the mart's central join is itself a chain of joins and aggregates, so it would never be split.
 Hot keys are therefore divided explicitly: rows of a hot key are dealt over several splits and the
-matching rows of the other side are copied to each of them.
-
-Finding the hot keys costs two narrow scans of the key column and is skipped when the input is
-known to be small.
+matching rows of the other side are copied to each of them. Which keys are hot follows from counts
+per key alone; a join without hot keys runs the same plan with an empty list.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_BYTES_CONF = "spark.orderloom.skew.minBytes"
+#: Rows that one split of a hot key should hold.
 MIN_ROWS_CONF = "spark.orderloom.skew.minRowsPerSplit"
-DEFAULT_MIN_BYTES = 256 << 20
 DEFAULT_MIN_ROWS = 1_000_000
 
-# Slots the keys are hashed into for the first count. A split holds at least four average slots, so
-# fewer than SLOTS / 4 keys can ever be hot: the broadcast list is bounded whatever the input size.
-SLOTS = 1 << 16
+# A hot key holds more than 1 / HOT_KEYS of all rows: there are fewer than HOT_KEYS of them,
+# whatever the input, and their list may be broadcast.
+HOT_KEYS = 1 << 14
 
 SALT = "_salt"
 
 
-@dataclass(frozen=True)
-class Splits:
-    """Hot keys of one join side: ``table`` has (key, parts), at most SLOTS / 4 rows."""
-
-    key: str
-    table: DataFrame
-
+def hot_keys(counts: DataFrame, key: str, rows: str) -> DataFrame:
+    """Keys with too many rows for one task and their number of splits: (key, _parts).
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's own size estimate, None where the session does not expose it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def find_splits(df: DataFrame, key: str) -> Splits | None:
-    """Hot keys of ``df``; None when the whole input is too small for a task to drown in it.
-
-    ``df`` should be a scan with narrow steps only: its key column is read twice.
+    ``counts`` has one row per key with its number of rows. A split holds the configured number of
+    rows, or more where the input is so large that there would be too many splits to list.
     """
-    conf = df.sparkSession.conf
-    size = estimated_bytes(df)
-    if size is not None and size < int(conf.get(MIN_BYTES_CONF, str(DEFAULT_MIN_BYTES))):
-        return None
-    min_rows = int(conf.get(MIN_ROWS_CONF, str(DEFAULT_MIN_ROWS)))
-
-    keys = df.where(F.col(key).isNotNull()).select(key)
-    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS))
-    # Partial aggregation leaves at most SLOTS rows per map task, and SLOTS rows in the window.
-    slots = keys.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
-    limit = F.greatest(F.lit(min_rows), F.ceil(4 * F.avg("_n").over(Window.partitionBy())))
-    hot_slots = (
-        slots.withColumn("_limit", limit).where("_n > _limit").select("_slot", "_limit")
-    )
-    hot_keys = (
-        keys.withColumn("_slot", slot)
-        .join(F.broadcast(hot_slots), "_slot")
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.max("_limit").alias("_limit"))
-        .where("_n > _limit")
-        .select(key, F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias("_parts"))
+    least = int(counts.sparkSession.conf.get(MIN_ROWS_CONF, str(DEFAULT_MIN_ROWS)))
+    share = counts.selectExpr(f"coalesce(ceil(sum({rows}) / {HOT_KEYS}), 0)").scalar()
+    limit = F.greatest(F.lit(least).cast("bigint"), share)
+    sized = counts.where(F.col(key).isNotNull()).withColumn("_limit", limit)
+    return sized.where(f"{rows} > _limit").selectExpr(
+        key, f"cast(ceil({rows} / _limit) as int) as _parts"
     )
-    return Splits(key, hot_keys)
 
 
-def _parts(df: DataFrame, splits: Splits) -> DataFrame:
-    return df.join(F.broadcast(splits.table), splits.key, "left").withColumn(
+def _parts(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    return df.join(F.broadcast(hot), key, "left").withColumn(
         "_parts", F.coalesce("_parts", F.lit(1))
     )
 
 
-def _deal(df: DataFrame, splits: Splits) -> DataFrame:
+def deal(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Give each row one split of its key.
 
-    The split follows the number of the input partition, not the row's content or a random number:
-    exact copies spread too, and a re-run task deals its rows the same way again.
+    Rows are dealt in turn by their number within the scan's partition: exact copies and the rows of
+    a single file spread too, and a re-run task deals its rows the same way again. ``df`` should be
+    a scan with narrow steps only.
     """
-    dealt = F.pmod(F.spark_partition_id(), F.col("_parts"))
-    return _parts(df, splits).withColumn(SALT, dealt).drop("_parts")
+    numbered = df.withColumn("_number", F.monotonically_increasing_id())
+    dealt = F.pmod("_number", "_parts").cast("int")
+    return _parts(numbered, hot, key).withColumn(SALT, dealt).drop("_parts", "_number")
 
 
-def _copy(df: DataFrame, splits: Splits) -> DataFrame:
+def _copy(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Repeat each row once per split of its key on the other side."""
     every = F.sequence(F.lit(0), F.col("_parts") - 1)
-    return _parts(df, splits).withColumn(SALT, F.explode(every)).drop("_parts")
+    return _parts(df, hot, key).withColumn(SALT, F.explode(every)).drop("_parts")
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, splits: Splits | None) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """The inner join ``left.join(right, key)`` with the hot keys of ``left`` divided.
 
     Every pair of matching rows meets in exactly one split, so the result is that of the plain
     join. Both sides are taken to be unbounded and are shuffled and merged: without the hint a
     compressed file just under the broadcast limit would have the longest table broadcast.
     """
-    if splits is None:
-        return left.hint("merge").join(right, key)
-    dealt, copied = _deal(left, splits), _copy(right, splits)
+    dealt, copied = deal(left, hot, key), _copy(right, hot, key)
     return dealt.hint("merge").join(copied, [key, SALT]).drop(SALT)

@@ -6,12 +6,12 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.csv_tables import resolve_source_dir
+from ..sources.csv_tables import RAW_TABLES, resolve_source_dir
 from ..sources.ingest import create_database, ingest, read_raw
-from . import gold, staging
+from . import gold, quality, staging
 from .intermediate import int_orders_enriched
-from .quality import check_suite
 
 GOLD_TABLES = (
     "dim_customer",
@@ -23,6 +23,18 @@ GOLD_TABLES = (
     "fct_daily_sales",
 )
 
+#: Partition column of fct_orders, if it is partitioned.
+MONTH = "date_month"
+
+
+class FailedChecks(RuntimeError):
+    """A build was stopped; ``verdicts`` has the failing ones."""
+
+    def __init__(self, stage: str, verdicts: list):
+        named = [f"{v.table_name}.{v.column_name} {v.check_name}: {v.failures}" for v in verdicts]
+        super().__init__(f"{stage}: {'; '.join(named)}")
+        self.verdicts = verdicts
+
 
 def build(raw: dict[str, DataFrame], calendar: DataFrame) -> dict[str, DataFrame]:
     """All fourteen models as plans; nothing runs. ``calendar`` holds the bounds of dim_date."""
@@ -57,16 +69,24 @@ def save_gold(
     models: dict[str, DataFrame],
     database: str = "gold",
     location: str | None = None,
+    by_month: bool = False,
 ) -> dict[str, DataFrame]:
     """Replace the gold tables and return the models with their gold part read from the tables.
 
     fct_daily_sales is computed from the written fct_orders, so the central join runs once.
+    ``by_month`` partitions fct_orders by the month of its date, for reports over a few months.
     """
     create_database(spark, database, location)
 
     def save(name: str, rows: DataFrame) -> DataFrame:
-        rows.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
-        return spark.table(f"{database}.{name}")
+        writer, columns = rows.write, rows.columns
+        if by_month and name == "fct_orders":
+            month = F.date_format("date_key", "yyyy-MM")
+            # One task per month and slice of orders, so that a month is a few files.
+            parted = rows.withColumn(MONTH, month).repartition(MONTH, F.expr("pmod(hash(order_id), 8)"))
+            writer = parted.write.partitionBy(MONTH)
+        writer.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+        return spark.table(f"{database}.{name}").select(*columns)
 
     first = [name for name in GOLD_TABLES if name != "fct_daily_sales"]
     with ThreadPoolExecutor(len(first)) as pool:  # dimensions do not wait for the order fact
@@ -77,15 +97,45 @@ def save_gold(
     return {**models, **saved}
 
 
+def _stop_on_failures(stage: str, verdicts: DataFrame) -> None:
+    failed = verdicts.where("status not in ('pass', 'warn')").collect()  # at most one per check
+    if failed:
+        raise FailedChecks(stage, failed)
+
+
+def raw_freshness(raw: dict[str, DataFrame], as_of: dt.datetime) -> DataFrame:
+    """Age of the newest load of each raw table."""
+    return quality.freshness(quality.load_stamps(raw), F.lit(as_of))
+
+
 def run(
     spark: SparkSession,
     source_dir: str | None = None,
     raw_database: str = "raw",
     gold_database: str = "gold",
     loaded_at: dt.datetime | None = None,
+    as_of: dt.datetime | None = None,
+    fail: bool = True,
 ) -> DataFrame:
-    """Load, build, check. Returns one verdict row per check."""
+    """Load, check, build, check again. Returns one verdict row per check.
+
+    With ``fail``, a raw table that is stale at ``as_of`` (now) and a failing check of the raw and
+    staging tables stop the build before a gold table is replaced, and a failing check of the gold
+    tables stops it after. An empty raw table has no load to be fresh and counts as stale.
+    """
     ingest(spark, resolve_source_dir(spark, source_dir), raw_database, loaded_at=loaded_at)
-    raw = read_raw(spark, raw_database)
-    models = save_gold(spark, build(raw, gold.calendar_bounds(spark)), gold_database)
-    return check_suite({**raw, **models})
+    raw = read_raw(spark, raw_database, tuple(RAW_TABLES))
+    models = build(raw, gold.calendar_bounds(spark))
+    if fail:
+        as_of = as_of or dt.datetime.now(dt.timezone.utc)
+        stale = raw_freshness(raw, as_of).selectExpr(
+            "table_name", "'_loaded_at' as column_name", "'freshness' as check_name",
+            "age_seconds as failures", "status",
+        )
+        inputs = {name: df for name, df in {**raw, **models}.items() if name not in GOLD_TABLES}
+        _stop_on_failures("raw and staging", stale.unionByName(quality.input_suite(inputs)))
+    models = save_gold(spark, models, gold_database)
+    verdicts = quality.check_suite({**raw, **models})
+    if fail:
+        _stop_on_failures("gold", verdicts)
+    return verdicts

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import top_type
-from .staging import ORDER_COLUMNS, join_items, order_headers
+from ..operators import hot_keys, spread_join
+from .staging import ORDER_COLUMNS, order_headers, order_items, with_line_columns
 
 ENRICHED_COLUMNS = (
     *ORDER_COLUMNS,
@@ -106,9 +107,12 @@ def int_orders_enriched(
 ) -> DataFrame:
     """Order lines with their order's payment total, main payment type, mean review and length.
 
-    ``orders`` and ``items`` are raw, ``payments`` and ``reviews`` staged.
+    ``orders`` and ``items`` are raw, ``payments`` and ``reviews`` staged. An order with too many
+    items for one task is divided; the lengths that tell are those the profile already has.
     """
-    lines = join_items(items, order_profiles(orders, items, payments, reviews))
+    profiles = order_profiles(orders, items, payments, reviews)
+    hot = hot_keys(line_counts(orders, items), "order_id", "order_item_count")
+    lines = with_line_columns(spread_join(order_items(items), profiles, "order_id", hot))
     return lines.selectExpr(
         *ORDER_COLUMNS,
         "order_item_count",

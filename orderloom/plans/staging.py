@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import order_line_id
-from ..operators import find_splits, spread_join
+from ..functions import order_line_id, whole
 
 ORDER_COLUMNS = (
     "order_line_id",
@@ -46,23 +45,25 @@ def order_items(items: DataFrame) -> DataFrame:
     )
 
 
-def join_items(items: DataFrame, headers: DataFrame) -> DataFrame:
-    """Order items to whatever is kept per header; orders without items and items without a header
-    disappear. An order with too many items for one task is divided."""
-    splits = find_splits(items, "order_id")
-    lines = spread_join(order_items(items), headers, "order_id", splits)
+def with_line_columns(lines: DataFrame) -> DataFrame:
+    """What is derived from joined order items."""
     return lines.withColumns(
         {
             "order_line_id": order_line_id("order_id", "order_item_id"),
-            "order_item_id": F.expr("cast(order_item_id as int)"),
+            "order_item_id": whole(lines, "order_item_id"),
             "gross_item_amount": F.expr("item_price + freight_value"),
         }
     )
 
 
 def stg_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per order line."""
-    return join_items(items, order_headers(orders)).select(*ORDER_COLUMNS)
+    """One row per order line; orders without items and items without a header disappear.
+
+    Both sides are bare shuffles, so adaptive execution divides an order with too many items. Both
+    are unbounded, hence the hint.
+    """
+    lines = order_items(items).hint("merge").join(order_headers(orders), "order_id")
+    return with_line_columns(lines).select(*ORDER_COLUMNS)
 
 
 def stg_customers(customers: DataFrame) -> DataFrame:
@@ -82,17 +83,17 @@ def stg_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     shuffles otherwise, with adaptive splitting of a category that holds many products.
     """
     names = translation.select("product_category_name", "product_category_name_english")
-    return products.join(names, "product_category_name", "left").selectExpr(
+    return products.join(names, "product_category_name", "left").select(
         "product_id",
         "product_category_name",
         "product_category_name_english",
-        "cast(product_name_lenght as int) as product_name_length",
-        "cast(product_description_lenght as int) as product_description_length",
-        "cast(product_photos_qty as int) as product_photos_qty",
-        "cast(product_weight_g as int) as product_weight_g",
-        "cast(product_length_cm as int) as product_length_cm",
-        "cast(product_height_cm as int) as product_height_cm",
-        "cast(product_width_cm as int) as product_width_cm",
+        whole(products, "product_name_lenght").alias("product_name_length"),
+        whole(products, "product_description_lenght").alias("product_description_length"),
+        whole(products, "product_photos_qty").alias("product_photos_qty"),
+        whole(products, "product_weight_g").alias("product_weight_g"),
+        whole(products, "product_length_cm").alias("product_length_cm"),
+        whole(products, "product_height_cm").alias("product_height_cm"),
+        whole(products, "product_width_cm").alias("product_width_cm"),
     )
 
 
@@ -106,20 +107,20 @@ def stg_sellers(sellers: DataFrame) -> DataFrame:
 
 
 def stg_payments(payments: DataFrame) -> DataFrame:
-    return payments.selectExpr(
+    return payments.select(
         "order_id",
-        "cast(payment_sequential as int) as payment_sequential",
+        whole(payments, "payment_sequential").alias("payment_sequential"),
         "payment_type",
-        "cast(payment_installments as int) as payment_installments",
-        "cast(payment_value as double) as payment_value",
+        whole(payments, "payment_installments").alias("payment_installments"),
+        F.expr("cast(payment_value as double) as payment_value"),
     )
 
 
 def stg_reviews(reviews: DataFrame) -> DataFrame:
-    return reviews.selectExpr(
+    return reviews.select(
         "review_id",
         "order_id",
-        "cast(review_score as int) as review_score",
-        "cast(review_creation_date as date) as review_creation_date",
-        "cast(review_answer_timestamp as timestamp_ntz) as review_answer_ts",
+        whole(reviews, "review_score").alias("review_score"),
+        F.expr("cast(review_creation_date as date) as review_creation_date"),
+        F.expr("cast(review_answer_timestamp as timestamp_ntz) as review_answer_ts"),
     )

@@ -52,58 +52,50 @@ RAW_TABLES = {
 }
 
 
-def _is_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
+def _found(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever store the session reads from."""
     try:
         spark.read.format("binaryFile").load(path)
     except AnalysisException as error:
-        if _is_missing(error):
-            return False
-        raise
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
     return True
 
 
 def resolve_source_dir(spark: SparkSession, given: str | None = None, root: str = ".") -> str:
-    """The given directory, else the environment's, else ``data/common``, else ``data/raw``."""
-    named = given or os.environ.get(SOURCE_DIR_ENV)
-    if named:
-        if not _exists(spark, named):
-            raise FileNotFoundError(f"csv source directory not found: {named}")
-        return named
-    common, fallback = f"{root}/data/common", f"{root}/data/raw"
-    if _exists(spark, common):
-        return common
-    if _exists(spark, fallback):
-        return fallback
-    raise FileNotFoundError(f"csv source directory not found: {common} or {fallback}")
+    """The folder of the CSV files: the given one, else the environment's, and only if neither is
+    named the project's, of which ``common`` goes before ``raw``."""
+    named = [folder for folder in (given, os.environ.get(SOURCE_DIR_ENV)) if folder]
+    candidates = named[:1] or [f"{root}/data/{folder}" for folder in ("common", "raw")]
+    for folder in candidates:
+        if _found(spark, folder):
+            return folder
+    raise FileNotFoundError(f"no folder of CSV files; not found: {candidates}")
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """All columns as text under their header names; an empty field is NULL. Types are not guessed,
-    so zip codes keep their leading zeros, and staging reads columns by name."""
-    return (
-        spark.read.option("header", True)
-        .option("encoding", "UTF-8")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
-    )
-
-
-def open_table(spark: SparkSession, table: str, source_dir: str) -> tuple[DataFrame, str]:
+    so zip codes keep their leading zeros, and staging reads columns by name.
+
+    A row with more or fewer fields than the header stops the read, as does a file of the folder
+    whose header differs from the first one's. A line break inside quotes is such a row unless
+    ``multiline`` is set; a multi-line file is read by one task.
+    """
+    reader = spark.read.options(header=True, encoding="UTF-8", quote='"', escape='"')
+    reader = reader.option("multiLine", multiline)
+    names = reader.csv(path).schema
+    strict = reader.options(enforceSchema=False, mode="FAILFAST", columnPruning=False)
+    return strict.schema(names).csv(path)
+
+
+def open_table(
+    spark: SparkSession, table: str, source_dir: str, multiline: bool = False
+) -> tuple[DataFrame, str]:
     """A raw table and the path it was found at: the first of its file names that exists."""
     spec = RAW_TABLES[table]
-    for file in spec.files:
-        path = f"{source_dir.rstrip('/')}/{file}"
-        try:
-            return read_csv(spark, path, spec.multiline), path
-        except AnalysisException as error:
-            if not _is_missing(error):
-                raise
-    raise FileNotFoundError(
-        f"missing csv for table={table}. expected one of: {', '.join(spec.files)}"
-    )
+    paths = [f"{source_dir.rstrip('/')}/{file}" for file in spec.files]
+    for path in paths:
+        if _found(spark, path):
+            return read_csv(spark, path, multiline or spec.multiline), path
+    raise FileNotFoundError(f"table {table}: no file in {source_dir}, looked for {', '.join(spec.files)}")

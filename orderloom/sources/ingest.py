@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .csv_tables import RAW_TABLES, open_table
@@ -25,7 +24,8 @@ def stamp(df: DataFrame, loaded_at: dt.datetime, load_id: str | None = None) ->
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    quoted = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    where = f" LOCATION '{quoted}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
@@ -48,41 +48,36 @@ def ingest(
     location: str | None = None,
     clean: bool = False,
     lineage: bool = False,
+    multiline: Collection[str] = (),
 ) -> DataFrame:
     """Replace the chosen raw tables by their CSV files and report what was loaded.
 
     ``clean`` first drops every table of the database, also those not loaded now; ``lineage`` adds
-    a load id and a row id. All files are located before anything is dropped or written.
+    a load id and a row id; ``multiline`` names further tables with line breaks inside quotes. All
+    files are located before anything is dropped or written. Rows are counted while they are
+    written. The report has table_name, row_count and source.
     """
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc)
     load_id = uuid.uuid4().hex if lineage else None
-    found = {table: open_table(spark, table, source_dir) for table in tables}
+    found = {table: open_table(spark, table, source_dir, table in multiline) for table in tables}
     if clean:
         drop_tables(spark, database)
     create_database(spark, database, location)
 
-    def replace(table: str) -> None:
+    def replace(table: str) -> int:
+        written = Observation()
         stamped = stamp(found[table][0], loaded_at, load_id)
+        stamped = stamped.observe(written, F.count(F.lit(1)).alias("row_count"))
         stamped.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{table}")
+        return written.get["row_count"]
 
-    with ThreadPoolExecutor(len(found)) as pool:  # small tables do not wait for the large ones
-        list(pool.map(replace, found))
-    raw = read_raw(spark, database, tables)
-    return row_counts(raw, {table: path for table, (_, path) in found.items()})
+    with ThreadPoolExecutor(max(1, len(found))) as pool:  # small tables do not wait for large ones
+        counts = list(pool.map(replace, found))
+    report = [(table, n, found[table][1]) for table, n in zip(found, counts, strict=True)]
+    return spark.createDataFrame(report, "table_name string, row_count bigint, source string")
 
 
 def read_raw(
     spark: SparkSession, database: str = "raw", tables: Sequence[str] = tuple(RAW_TABLES)
 ) -> dict[str, DataFrame]:
     return {table: spark.table(f"{database}.{table}") for table in tables}
-
-
-def row_counts(tables: dict[str, DataFrame], sources: dict[str, str]) -> DataFrame:
-    """One row per table: rows and source."""
-    counts = [
-        rows.selectExpr("count(*) as row_count").select(
-            F.lit(table).alias("table_name"), "row_count", F.lit(sources[table]).alias("source")
-        )
-        for table, rows in tables.items()
-    ]
-    return reduce(DataFrame.unionAll, counts)

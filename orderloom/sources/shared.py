@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -13,10 +14,16 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder all executors share.
 
-    The folder is the session's checkpoint directory. Only a local session without one gets a
-    temporary folder, as the machine's own disk is then the shared one.
+    The folder is the session's checkpoint directory, from the setting or from setCheckpointDir.
+    Only a local session without either gets a temporary folder, as the machine's own disk is then
+    the shared one.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
+    if not root:
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except PySparkException:  # a Connect session has no context
+            root = None
     if not root:
         master = spark.conf.get("spark.master", "")
         if not master.startswith("local"):

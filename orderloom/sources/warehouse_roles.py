@@ -6,6 +6,8 @@ so every model runs on it unchanged.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Payment type by line number modulo five.
@@ -38,8 +40,24 @@ SCHEMAS = {
 }
 
 
+def _check_columns(path: str, name: str, present: tuple[str, ...]) -> None:
+    wanted = [column.split()[0] for column in SCHEMAS[name].split(", ")]
+    absent = [column for column in wanted if column not in present]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+
+
+@lru_cache(maxsize=256)
+def _present(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Columns of a table by its footer, looked up once."""
+    return tuple(spark.read.parquet(path).columns)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    """A declared schema would read an absent column as NULL, so its columns must be there."""
+    path = f"{sf_dir}/{name}.parquet"
+    _check_columns(path, name, _present(spark, path))
+    return spark.read.schema(SCHEMAS[name]).parquet(path)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,24 +2,69 @@
 
 from __future__ import annotations
 
-import csv
-
+# The columns of the raw tables.
 HEADERS = {
-    "olist_orders": "order_id customer_id order_status order_purchase_timestamp order_approved_at "
-    "order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date",
-    "olist_order_items": "order_id order_item_id product_id seller_id shipping_limit_date price "
-    "freight_value",
-    "olist_order_payments": "order_id payment_sequential payment_type payment_installments "
-    "payment_value",
-    "olist_order_reviews": "review_id order_id review_score review_creation_date "
-    "review_answer_timestamp",
-    "olist_customers": "customer_id customer_unique_id customer_zip_code_prefix customer_city "
-    "customer_state",
-    "olist_products": "product_id product_category_name product_name_lenght "
-    "product_description_lenght product_photos_qty product_weight_g product_length_cm "
-    "product_height_cm product_width_cm",
-    "olist_sellers": "seller_id seller_zip_code_prefix seller_city seller_state",
-    "product_category_name_translation": "product_category_name product_category_name_english",
+    "olist_orders": [
+        "order_id",
+        "customer_id",
+        "order_status",
+        "order_purchase_timestamp",
+        "order_approved_at",
+        "order_delivered_carrier_date",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ],
+    "olist_order_items": [
+        "order_id",
+        "order_item_id",
+        "product_id",
+        "seller_id",
+        "shipping_limit_date",
+        "price",
+        "freight_value",
+    ],
+    "olist_order_payments": [
+        "order_id",
+        "payment_sequential",
+        "payment_type",
+        "payment_installments",
+        "payment_value",
+    ],
+    "olist_order_reviews": [
+        "review_id",
+        "order_id",
+        "review_score",
+        "review_creation_date",
+        "review_answer_timestamp",
+    ],
+    "olist_customers": [
+        "customer_id",
+        "customer_unique_id",
+        "customer_zip_code_prefix",
+        "customer_city",
+        "customer_state",
+    ],
+    "olist_products": [
+        "product_id",
+        "product_category_name",
+        "product_name_lenght",
+        "product_description_lenght",
+        "product_photos_qty",
+        "product_weight_g",
+        "product_length_cm",
+        "product_height_cm",
+        "product_width_cm",
+    ],
+    "olist_sellers": [
+        "seller_id",
+        "seller_zip_code_prefix",
+        "seller_city",
+        "seller_state",
+    ],
+    "product_category_name_translation": [
+        "product_category_name",
+        "product_category_name_english",
+    ],
 }
 
 # The sample rows.
@@ -84,16 +129,22 @@ def frames(spark, rows: dict[str, list[tuple]]) -> dict:
     return {
         table: spark.createDataFrame(
             [tuple(None if v == "" else v for v in row) for row in values],
-            ", ".join(f"{name} string" for name in HEADERS[table].split()),
+            ", ".join(f"{name} string" for name in HEADERS[table]),
         )
         for table, values in rows.items()
     }
 
 
+def _field(value: str) -> str:
+    """A CSV field, quoted if it has to be."""
+    if any(mark in value for mark in ',"\n'):
+        return '"' + value.replace('"', '""') + '"'
+    return value
+
+
 def write_csv(folder, rows: dict[str, list[tuple]], suffix: str = "") -> str:
-    for table, values in rows.items():
-        with open(folder / f"{table}{suffix}.csv", "w", newline="", encoding="utf-8") as file:
-            writer = csv.writer(file)
-            writer.writerow(HEADERS[table].split())
-            writer.writerows(values)
+    """The tables as CSV files of plain text; returns the folder."""
+    for table in rows:
+        lines = [",".join(map(_field, row)) for row in (HEADERS[table], *rows[table])]
+        (folder / f"{table}{suffix}.csv").write_text("\n".join([*lines, ""]), encoding="utf-8")
     return str(folder)

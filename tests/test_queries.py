@@ -30,3 +30,12 @@ def test_entry(spark):
 def test_query_equals_sql(spark, con, name):
     ours = driver.queries()[name](spark, SMALL).toPandas()
     assert difference(ours, con.execute(driver.oracle_sql()[name]).df()) is None
+
+
+def test_loading_keys_leave_no_databases(spark):
+    for name in ("ingest_row_counts", "gold_tables"):
+        driver.queries()[name](spark, SMALL).collect()
+    before = [d.name for d in spark.catalog.listDatabases()]
+    for name in ("ingest_row_counts", "gold_tables"):
+        driver.queries()[name](spark, SMALL).collect()
+    assert [d.name for d in spark.catalog.listDatabases()] == before

@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from orderloom.plans import build, gold, quality, reports
 from orderloom.sources.ingest import ingest, read_raw
+from pyspark.sql import functions as F
 from shop import SAMPLE, write_csv
 
 
@@ -136,3 +137,40 @@ def test_run_and_rerun_replace_everything(spark, tmp_path):
     assert spark.table("rerun_gold.fct_orders").count() == 4
     assert spark.table("rerun_raw.olist_orders").count() == 4
 
+
+
+def test_stale_or_failing_inputs_stop_the_build_before_gold(spark, tmp_path):
+    folder = write_csv(tmp_path, SAMPLE)
+    build.run(spark, folder, "stop_raw", "stop_gold")
+    late = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=5)
+    with pytest.raises(build.FailedChecks, match="freshness"):
+        build.run(spark, folder, "stop_raw", "stop_gold", as_of=late)
+    bad = {**SAMPLE, "olist_orders": SAMPLE["olist_orders"] + SAMPLE["olist_orders"][:1]}
+    write_csv(tmp_path, bad)
+    with pytest.raises(build.FailedChecks, match="olist_orders.order_id unique: 1") as failed:
+        build.run(spark, folder, "stop_raw", "stop_gold")
+    assert {v.check_name for v in failed.value.verdicts} == {"unique"}
+    assert spark.table("stop_gold.fct_orders").count() == 4
+    verdicts = build.run(spark, folder, "stop_raw", "stop_gold", fail=False)
+    assert verdicts.where("status = 'fail'").count() > 0
+    assert spark.table("stop_gold.fct_orders").count() == 6
+
+
+def test_gold_by_month(spark, mart):
+    saved = build.save_gold(spark, mart, "month_gold", by_month=True)
+    assert saved["fct_orders"].columns == mart["fct_orders"].columns
+    assert saved["fct_orders"].exceptAll(mart["fct_orders"]).isEmpty()
+    months = [r[0] for r in spark.sql("show partitions month_gold.fct_orders").collect()]
+    assert months == ["date_month=2018-01"]
+
+
+def test_large_sums_reconcile(spark):
+    """Totals of 1e15, where the order of addition alone moves a sum of doubles by cents. A day's
+    own sum is a double and small enough to hold them."""
+    lines = spark.range(100_000).selectExpr("id % 10000 as seller_id", "1e10 + id * 0.01 as gross_item_amount")
+    daily = lines.groupBy("seller_id").agg(F.sum("gross_item_amount").alias("gross_sales"))
+    assert quality.sales_reconcile(daily, lines).first()["failures"] == 0
+    missing = lines.where("gross_item_amount > 1e10")
+    totals = quality.sales_totals(daily, missing).first()
+    assert float(totals["difference"]) == pytest.approx(1e10, rel=1e-9)
+    assert quality.sales_reconcile(daily, missing).first()["failures"] == 1

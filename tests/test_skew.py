@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from orderloom.operators import find_splits, skew, spread_join
+from orderloom.operators import skew, spread_join
 from orderloom.plans import build, gold, intermediate, reports, staging
 from orderloom.sources import warehouse_roles as roles
 from pyspark.sql import functions as F
@@ -13,11 +13,9 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture
 def divide(spark):
-    """Treat every input as large and any key with over 20 rows as hot."""
-    spark.conf.set(skew.MIN_BYTES_CONF, "0")
+    """Treat any key with over 20 rows as hot."""
     spark.conf.set(skew.MIN_ROWS_CONF, "20")
     yield
-    spark.conf.unset(skew.MIN_BYTES_CONF)
     spark.conf.unset(skew.MIN_ROWS_CONF)
 
 
@@ -38,14 +36,42 @@ def same(a, b) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_small_inputs_are_not_divided(lines):
-    assert find_splits(lines, "k") is None
+def counted(rows):
+    return rows.groupBy("k").agg(F.expr("count(*) as n"))
+
+
+def hot(rows):
+    return skew.hot_keys(counted(rows), "k", "n")
+
+
+def test_few_rows_are_not_hot(lines):
+    assert hot(lines).count() == 0
 
 
 def test_hot_keys_are_found(divide, lines):
-    found = {row["k"]: row["_parts"] for row in find_splits(lines, "k").table.collect()}
-    assert set(found) == {7}
-    assert found[7] > 50
+    found = {row["k"]: row["_parts"] for row in hot(lines).collect()}
+    assert found == {7: 101}  # 2,004 rows of key 7, 20 in each split
+
+
+@pytest.mark.parametrize("keys", [1, 3, 50])
+@pytest.mark.parametrize("files", [1, 4])
+def test_splits_are_even_for_few_keys_and_files(divide, spark, tmp_path, keys, files):
+    path = str(tmp_path / "rows")
+    spark.range(0, 6000, 1, files).selectExpr(f"id % {keys} as k", "0 as v").write.parquet(path)
+    rows = spark.read.parquet(path)
+    splits = hot(rows)
+    assert splits.count() == keys
+    sizes = skew.deal(rows, splits, "k").groupBy("k", skew.SALT).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2 * 20
+    assert sizes.agg(F.sum("count")).first()[0] == 6000
+
+
+def test_the_list_of_hot_keys_is_bounded(spark, divide):
+    """Were all keys over the limit, the limit would rise with the rows."""
+    counts = spark.range(100_000).selectExpr("id as k", "30L as n")
+    assert skew.hot_keys(counts, "k", "n").count() == 0
+    one = counts.unionAll(spark.sql("select -1L as k, 10000000L as n"))
+    assert [row["k"] for row in skew.hot_keys(one, "k", "n").collect()] == [-1]
 
 
 def test_divided_join_equals_plain_join(divide, spark, lines):
@@ -53,35 +79,28 @@ def test_divided_join_equals_plain_join(divide, spark, lines):
         "cast(k as bigint) as k", "k * 10 as w"
     )
     right = right.unionAll(spark.sql("select 7L as k, -1 as w"))  # a repeated key on the right
-    divided = spread_join(lines, right, "k", find_splits(lines, "k"))
+    divided = spread_join(lines, right, "k", hot(lines))
     plain = lines.join(right, "k")
     assert divided.columns == plain.columns
     assert same(divided, plain)
     assert divided.count() == plain.count()
 
 
-def test_hot_rows_spread_over_tasks(divide, lines):
-    splits = find_splits(lines, "k")
-    salts = skew._deal(lines, splits).where("k = 7").groupBy(skew.SALT).count().collect()
-    assert len(salts) >= 4
-    assert max(row["count"] for row in salts) < 2000 / 2
-
-
-def test_mart_is_the_same_with_divided_orders(divide, spark):
+def test_mart_is_the_same_with_divided_orders(spark, request):
     items = roles.order_items(spark, SMALL)
-    hot = items.withColumn("order_id", F.expr("if(product_id % 3 = 0, 5L, order_id)"))
+    one_hot = items.withColumn("order_id", F.expr("if(product_id % 3 = 0, 5L, order_id)"))
     orders = roles.orders(spark, SMALL)
     payments = staging.stg_payments(roles.payments(spark, SMALL))
     reviews = staging.stg_reviews(roles.reviews(spark, SMALL))
 
     def fact():
-        return gold.fct_orders(intermediate.int_orders_enriched(orders, hot, payments, reviews))
+        return gold.fct_orders(intermediate.int_orders_enriched(orders, one_hot, payments, reviews))
 
+    plain = fact()
+    request.addfinalizer(lambda: spark.conf.unset(skew.MIN_ROWS_CONF))
+    spark.conf.set(skew.MIN_ROWS_CONF, "20")
     divided = fact()
     assert skew.SALT in divided._jdf.queryExecution().optimizedPlan().toString()
-    spark.conf.set(skew.MIN_BYTES_CONF, str(1 << 40))
-    plain = fact()
-    assert skew.SALT not in plain._jdf.queryExecution().optimizedPlan().toString()
     assert plain.where("order_id = 5").count() > 6000 / 4
     assert same(divided.drop("payment_total_value"), plain.drop("payment_total_value"))
 

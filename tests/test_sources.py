@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from orderloom.functions import whole
 from orderloom.plans import quality, staging
-from orderloom.sources import csv_tables, shared
+from orderloom.sources import csv_tables, shared, warehouse_roles
 from orderloom.sources.ingest import drop_tables, ingest, read_raw
 from shop import SAMPLE, write_csv
 
@@ -125,3 +126,68 @@ def test_shared_folder_is_the_checkpoint_folder(spark):
     written = shared.write_once(spark.range(5).selectExpr("id", "id * 2 as twice"), "numbers")
     assert "FileScan parquet" in written._jdf.queryExecution().executedPlan().toString()
     assert written.selectExpr("sum(twice)").first()[0] == 20
+
+
+HEADER = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+
+
+def test_quoted_line_break_in_any_table_that_asks_for_it(spark, tmp_path):
+    folder = write(tmp_path, "olist_customers.csv", HEADER + 'c1,u1,01000,"sao\npaulo",SP\n')
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        csv_tables.open_table(spark, "olist_customers", folder)[0].collect()
+    rows, _ = csv_tables.open_table(spark, "olist_customers", folder, multiline=True)
+    assert [tuple(row) for row in rows.collect()] == [("c1", "u1", "01000", "sao\npaulo", "SP")]
+    report = ingest(spark, folder, "multi_raw", ("olist_customers",), multiline=("olist_customers",))
+    assert report.first()["row_count"] == 1
+
+
+@pytest.mark.parametrize("row", ["c1,u1,01000,sao paulo,SP,more", "c1,u1,01000,sao paulo"])
+def test_long_and_short_rows_stop_the_read(spark, tmp_path, row):
+    folder = write(tmp_path, "olist_customers.csv", f"{HEADER}c0,u0,1,a,SP\n{row}\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        csv_tables.open_table(spark, "olist_customers", folder)[0].collect()
+
+
+def test_folder_of_files_with_different_headers_stops_the_read(spark, tmp_path):
+    folder = tmp_path / "olist_sellers.csv"
+    folder.mkdir()
+    write(folder, "a.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,c,SP\n")
+    write(folder, "b.csv", "seller_state,seller_city,seller_zip_code_prefix,seller_id\nRJ,c,2,s2\n")
+    rows, _ = csv_tables.open_table(spark, "olist_sellers", str(tmp_path))
+    with pytest.raises(Exception, match="header"):
+        rows.collect()
+
+
+def test_whole_numbers(spark):
+    text = spark.createDataFrame(
+        [("500.0",), ("2.7",), ("2.5",), ("-2.5",), ("7",), (" 8 ",), ("",), (None,), ("1e3",)], "v string"
+    )
+    want = [500, 3, 3, -3, 7, 8, None, None, 1000]  # as the SQL engine casts them
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            assert [r["v"] for r in text.select(whole(text, "v").alias("v")).collect()] == want
+            for wrong in ("abc", "2147483648"):
+                bad = spark.createDataFrame([(wrong,)], "v string")
+                with pytest.raises(Exception, match="not a whole number"):
+                    bad.select(whole(bad, "v")).collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", before)
+    doubles = spark.createDataFrame([(2.5,), (3.5,), (-1.2,)], "v double")
+    assert [r[0] for r in doubles.select(whole(doubles, "v")).collect()] == [2, 4, -1]
+
+
+def test_absent_parquet_column_is_an_error(spark, tmp_path):
+    spark.range(3).selectExpr("id as n_nationkey").write.parquet(f"{tmp_path}/nation.parquet")
+    with pytest.raises(ValueError, match="n_name"):
+        warehouse_roles._table(spark, str(tmp_path), "nation")
+    with pytest.raises(ValueError, match="l_tax"):
+        short = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_returnflag l_shipdate"
+        columns = [f"1L as {name}" for name in short.split()]
+        spark.range(1).selectExpr(*columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+        warehouse_roles.order_items(spark, str(tmp_path))
+
+
+def test_no_tables_is_an_empty_report(spark, tmp_path):
+    assert ingest(spark, str(tmp_path), "none_raw", ()).count() == 0
