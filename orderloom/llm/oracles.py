@@ -50,6 +50,57 @@ def op3() -> str:
     from placed"""
 
 
+def op4() -> str:
+    return """
+    with recursive good as (
+      select vec_id, label, cast(embedding as double[]) as v from embeddings
+      where label is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links as (
+      select a.vec_id as x, b.vec_id as y
+      from good a join good b on a.label = b.label and a.vec_id <> b.vec_id
+        and list_cosine_similarity(a.v, b.v) >= 0.93),
+    reach as (
+      select vec_id, vec_id as seen from embeddings
+      union
+      select reach.vec_id, links.y from reach join links on links.x = reach.seen),
+    least as (select vec_id, min(seen) as component_id from reach group by vec_id)
+    select vec_id, (select count(*) from links where x = vec_id) as n_links, component_id,
+           vec_id = component_id as kept
+    from least"""
+
+
+def op10() -> str:
+    return """
+    with recursive words as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x20\\x09-\\x0D]+') as w
+      from documents),
+    sets as materialized (
+      select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+               else list_distinct(list_transform(range(1, len(w) - 2),
+                 lambda i: array_to_string(w[i : i + 3], ' '))) end as s
+      from words),
+    sizes as materialized (select doc_id, len(s) as n from sets),
+    every as materialized (select doc_id, unnest(s) as g from sets),
+    each as materialized (
+      select doc_id, g from every where g in (select g from every group by g having count(*) > 1)),
+    shared as (
+      select a.doc_id as x, b.doc_id as y, count(*) as common
+      from each a join each b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+    links as materialized (
+      select x, y from shared join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+      where 100 * common >= 80 * (p.n + q.n - common)),
+    reach as (
+      select doc_id, doc_id as seen from documents
+      union
+      select reach.doc_id, links.y from reach join links on links.x = reach.seen)
+    select doc_id, any_value(n) as n_shingles, min(seen) as component_id, doc_id = min(seen) as kept
+    from reach join sizes using (doc_id) group by doc_id"""
+
+
 def op9() -> str:
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
     return f"""
@@ -70,4 +121,9 @@ def op9() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": op3(), "op9_url_filters": op9()}
+    return {
+        "op3_sharding": op3(),
+        "op4_embedding_dedup": op4(),
+        "op9_url_filters": op9(),
+        "op10_minhash_forest": op10(),
+    }
