@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 NONE = np.int32(2**31 - 1)
 #: Longest piece, in bytes, that goes into a matrix; the matrices are 2, 4, 8 ... wide.
 WIDEST = 64
-#: Rows of one matrix and pieces remembered by a task: bounds of its memory.
-ROWS, REMEMBERED = 50_000, 300_000
+#: Rows of one matrix, pieces remembered, and texts at a time of a task: bounds of its memory.
+ROWS, REMEMBERED, SLICE = 20_000, 150_000, 500
 #: Marks that end a word and are a match of their own.
 MARKS = (".", ",")
 
@@ -218,8 +218,8 @@ class Codec:
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of whole texts, as little-endian unsigned 32-bit numbers."""
         out = []
-        for start in range(0, len(texts), 1000):
-            some = texts[start : start + 1000]
+        for start in range(0, len(texts), SLICE):
+            some = texts[start : start + SLICE]
             for known in (self.first, self.after, self.matches):
                 if len(known) > REMEMBERED:
                     known.clear()
@@ -269,30 +269,42 @@ def _texts(column: pa.Array) -> list[str]:
     return ["" if t is None else t for t in column.to_pylist()]
 
 
-def _added(df: DataFrame, column: str, name: str, kind: str, work) -> DataFrame:
-    """``df`` with one more column made from another by ``work``; a column of that name is replaced."""
-    df = df.drop(name) if name != column else df
-    rest = [c for c in df.columns if c != name]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*rest).schema), f"`{name}` {kind}"])
+def _added(df: DataFrame, column: str, fields: dict[str, str], work) -> DataFrame:
+    """``df`` with columns made from another by ``work``, SLICE rows at a time; columns of the same
+    names are replaced."""
+    rest = [c for c in df.columns if c not in fields]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*rest).schema]
+    schema = ", ".join([*kept, *(f"`{name}` {kind}" for name, kind in fields.items())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            new = work(batch.column(column))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), new], names=[*rest, name])
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                new = work(batch.column(column))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *new], names=[*rest, *fields])
 
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the token ids of each whole text as an array; a null or empty text has none."""
+def encode(
+    df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", check: str | None = None
+) -> DataFrame:
+    """``df`` with the token ids of each whole text as an array; a null or empty text has none.
+
+    ``check`` names a column that tells whether decoding the ids gives the text again, in the same pass.
+    """
     codec = _codec_of(df.sparkSession, path, pattern)
+    fields = {ids: "array<int>"} | ({check: "boolean"} if check else {})
 
     def work(column):
-        found = codec().encode(_texts(column))
+        texts = _texts(column)
+        found = codec().encode(texts)
         ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int32)
-        return pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(found), np.int32)))
+        yield pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(found), np.int32)))
+        if check:
+            yield pa.array([codec().decode(x) == t.encode() for x, t in zip(found, texts, strict=True)], pa.bool_())
 
-    return _added(df, text, ids, "array<int>", work)
+    return _added(df, text, fields, work)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str = "data") -> DataFrame:
@@ -305,9 +317,9 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str =
         ends = np.cumsum(sizes) * 4
         data = column.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
         rows = [data[e - 4 * n : e] for e, n in zip(ends, sizes, strict=True)]
-        return pa.array([codec().decode(x) for x in rows], pa.binary())
+        yield pa.array([codec().decode(x) for x in rows], pa.binary())
 
-    return _added(df, ids, data, "binary", work)
+    return _added(df, ids, {data: "binary"}, work)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -321,8 +333,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = lambda data: hashlib.sha256(data).hexdigest()
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
                 found = codec().encode(_texts(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [

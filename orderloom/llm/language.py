@@ -21,6 +21,8 @@ TEXTS, CHARS = 64, 1024
 #: Languages are a dimension; more than this is an error.
 MAX_LANGUAGES = 1000
 BLOCK = 2048
+#: Texts of a task at a time.
+SLICE = 500
 UNKNOWN = "und"
 #: Rejected: texts of at least SHORT bytes whose best two sizes differ by less than this share. A
 #: shorter text is only a few bytes when compressed, so its margin says little.
@@ -111,9 +113,11 @@ def keep(df: DataFrame, contents: dict[str, bytes], text: str = "text") -> DataF
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Compressors(sent.value)
-        for batch in batches:
-            found = [not judge.judge(t)[2] for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(found, pa.bool_()))
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                found = [not judge.judge(t)[2] for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array(found, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 

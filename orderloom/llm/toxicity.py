@@ -36,7 +36,7 @@ WINDOW = 24
 SHORT = 4
 #: Of the curve from decision values to scores.
 STEEPNESS = 3.0
-REMEMBERED = 300_000
+REMEMBERED, SLICE = 150_000, 500
 THRESHOLD = 0.7
 
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -302,8 +302,8 @@ class Scorer:
 
     def __call__(self, texts: Sequence[str | None]) -> list[float]:
         out = []
-        for start in range(0, len(texts), 1000):
-            bags = [set(words_of(t or "")) for t in texts[start : start + 1000]]
+        for start in range(0, len(texts), SLICE):
+            bags = [set(words_of(t or "")) for t in texts[start : start + SLICE]]
             self._learn(bags)
             out += [score(max(map(self.known.__getitem__, b), default=self.model.bias)) for b in bags]
         return out
@@ -317,9 +317,11 @@ def predict(df: DataFrame, model: Model, text: str = "text", carry: tuple[str, .
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
-        for batch in batches:
-            scores = pa.array(scorer(batch.column(len(carry)).to_pylist()), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], scores], names=[*carry, "score"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                scores = pa.array(scorer(batch.column(len(carry)).to_pylist()), pa.float64())
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], scores], names=[*carry, "score"])
 
     return df.select(*carry, F.col(text).alias("_text")).mapInArrow(run, schema + ", score double")
 
@@ -331,8 +333,11 @@ def keep(df: DataFrame, model: Model, text: str = "text", threshold: float = THR
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
-        for batch in batches:
-            yield batch.filter(pa.array([s < threshold for s in scorer(batch.column(at).to_pylist())], pa.bool_()))
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                scores = scorer(batch.column(at).to_pylist())
+                yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 
