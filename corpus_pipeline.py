@@ -40,12 +40,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the token ids of the whole text, their number, and whether decoding them
     gives the text again."""
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), RANKS, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, RANKS, public_tokenizers.PATTERN)
-    return decoded.selectExpr(
-        "doc_id", "lang", "source", "ids", "cast(size(ids) as bigint) as n_tokens",
-        "data = coalesce(cast(text as binary), X'') as decoded",
-    )
+    rows = docs.select("doc_id", "lang", "source", "text")
+    encoded = bpe.encode(rows, RANKS, public_tokenizers.PATTERN, check="decoded")
+    return encoded.selectExpr(
+        "doc_id", "lang", "source", "ids", "cast(size(ids) as bigint) as n_tokens", "decoded"
+    )
 
 
 STAGES = [
