@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from orderloom.__main__ import main as command
 from orderloom.plans import build, gold, quality, reports
 from orderloom.sources.ingest import ingest, read_raw
 from pyspark.sql import functions as F
@@ -174,3 +175,13 @@ def test_large_sums_reconcile(spark):
     totals = quality.sales_totals(daily, missing).first()
     assert float(totals["difference"]) == pytest.approx(1e10, rel=1e-9)
     assert quality.sales_reconcile(daily, missing).first()["failures"] == 1
+
+
+def test_command(spark, tmp_path, capsys):
+    folder = write_csv(tmp_path, SAMPLE)
+    databases = ["--raw-database", "command_raw", "--gold-database", "command_gold"]
+    assert command(["--source-dir", folder, *databases]) == 0
+    assert "within_calendar" in capsys.readouterr().out
+    write_csv(tmp_path, {"olist_orders": SAMPLE["olist_orders"] * 2})
+    assert command(["--source-dir", folder, *databases]) == 1
+    assert "olist_orders.order_id unique" in capsys.readouterr().err
