@@ -3,7 +3,8 @@
 Every tree orders documents by a signature string of its own. Documents with a common prefix form a
 region; a region is read at the least depth at which it is small, so a sparse neighbourhood is
 searched with a short prefix and a crowded one with a long prefix. Regions that stay large at full
-depth are searched along the sorted order. Candidates are confirmed on whole shingle sets.
+depth meet as pairs of blocks, without the pairs already in one component. Candidates are confirmed
+on whole shingle sets.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from .runs import pairs_in_runs, whole_runs
 TREES, DEPTH = 16, 6
 #: Largest region in which every document is compared with every other by sketch.
 REGION = 64
-#: Neighbours on each side along the sorted order of a region that stays larger.
-ALONG = 64
+#: Documents of a block of a region that stays larger.
+BLOCK = 1024
 #: Sketch: of each signature value four bits. Its estimate deviates by 0.045 at similarity 0.8.
 SLACK = 0.2
 #: Classes that a task knows it has met.
@@ -138,9 +139,9 @@ def _likely(sketch, n, label, i, j, least):
     return i[ok], j[ok], estimate[ok]
 
 
-def _search(least: float, nearest: bool, along: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates of regions, or along the order of large ones. ``nearest``: only the best partner of
-    each row; else every partner with another label."""
+def _search(least: float, nearest: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates of small regions. ``nearest``: only the best partner of each row; else every partner
+    with another label."""
 
     def found(rows: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         c, n, label = (rows[k].to_numpy() for k in ("c", "n", "label"))
@@ -152,27 +153,91 @@ def _search(least: float, nearest: bool, along: int, batches: Iterable[pa.Record
                 order = np.lexsort((c[other], -value, row))
                 first = order[np.r_[True, np.diff(row[order]) != 0]]
                 i, j = row[first], other[first]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c[i], c[j])), pa.array(np.maximum(c[i], c[j]))], names=["a", "b"])
-
-    def walk() -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            fresh = 0 if held is None else held.num_rows
-            if held is not None:
-                rows = pa.concat_tables([held, rows])
-            c, n, label, t = (rows[k].to_numpy() for k in ("c", "n", "label", "t"))
-            region = rows["region"].to_numpy()
-            sketch = _sketch(rows["sig"])
-            for step in range(1, along + 1):
-                j = np.arange(max(fresh, step), rows.num_rows)
-                i = j - step
-                ok = (t[i] == t[j]) & (region[i] == region[j])
-                i, j, _ = _likely(sketch, n, label, i[ok], j[ok], least)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c[i], c[j])), pa.array(np.maximum(c[i], c[j]))], names=["a", "b"])
-            held = rows.slice(max(0, rows.num_rows - along))
-
-    return walk() if along else whole_runs(batches, ("t", "region"), found)
+            yield _pairs(c, i, j)
+
+    return whole_runs(batches, ("t", "region"), found)
+
+
+def _pairs(c: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(c[i], c[j])), pa.array(np.maximum(c[i], c[j]))], names=["a", "b"])
+
+
+def _beside(least: float, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates among neighbours in the sorted order of large regions: a start, which spares later
+    pairs. Nothing depends on where the order is cut."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        if not rows.num_rows:
+            continue
+        c, n, label, t, region = (rows[k].to_numpy() for k in ("c", "n", "label", "t", "region"))
+        i = np.flatnonzero((t[1:] == t[:-1]) & (region[1:] == region[:-1]))
+        i, j, _ = _likely(_sketch(rows["sig"]), n, label, i, i + 1, least)
+        yield _pairs(c, i, j)
+        held = rows.slice(rows.num_rows - 1)
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows of large regions once for each block theirs has to meet, under the pair (_a, _b) of block
+    numbers. A label with more than BLOCK rows of a region has blocks of its own, which do not meet
+    each other; the other labels share blocks, which meet all."""
+    region = ["t", "region"]
+    labels = rows.groupBy(*region, "label").count()
+    labels = labels.selectExpr(*region, f"if(count > {BLOCK}, label, null) as own", "count")
+    each = labels.groupBy(*region, "own").agg(F.expr(f"cast(ceil(sum(count) / {BLOCK}) as int)").alias("many"))
+    # One row a region, with a number for each BLOCK rows of it; the documents stay apart.
+    lists = each.groupBy(*region).agg(F.expr("sort_array(collect_list(struct(own, many)))").alias("each"))
+    lists = lists.selectExpr(
+        *region, "flatten(transform(each, x -> transform(sequence(1, x.many), k -> x.own))) as owns",
+    )
+    rows = rows.join(lists, region).withColumn("own", F.expr("if(array_contains(owns, label), label, null)"))
+    rows = rows.withColumn("mine", F.expr("filter(sequence(0, size(owns) - 1), k -> owns[k] <=> own)"))
+    rows = rows.withColumn("_mine", F.expr("mine[cast(pmod(xxhash64(c), size(mine)) as int)]"))
+    others = "filter(sequence(0, size(owns) - 1), k -> owns[k] is null or not owns[k] <=> own)"
+    rows = rows.selectExpr(*region, "c", "n", "label", "sig", "_mine", f"explode({others}) as _other")
+    return rows.selectExpr(
+        *region, "c", "n", "label", "sig", "_mine", "least(_mine, _other) as _a", "greatest(_mine, _other) as _b"
+    )
+
+
+def _meet(least: float, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates among whole runs, each of one pair of blocks of a large region."""
+
+    def found(rows: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for low, high in zip(starts, ends, strict=True):
+            yield from pair(rows.slice(low, high - low))
+
+    def pair(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        c, n, label, mine = (rows[k].to_numpy() for k in ("c", "n", "label", "_mine"))
+        t, same = rows["t"][0].as_py(), rows["_a"][0].as_py() == rows["_b"][0].as_py()
+        sketch = _sketch(rows["sig"]).T.copy()
+        path = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint32).reshape(len(c), TREES, DEPTH)
+        left = np.arange(len(c)) if same else np.flatnonzero(mine == mine.min())
+        right = left if same else np.flatnonzero(mine != mine.min())
+        if not len(right):
+            return
+        other = sketch[:, right]
+        enough = (least - SLACK) * 15 / 16 + 1 / 16
+        for start in range(0, len(left), 256):
+            here = left[start : start + 256]
+            agree = np.zeros((len(here), len(right)), np.uint8)
+            for k in range(len(sketch)):
+                agree += sketch[k, here][:, None] == other[k]
+            x, y = n[here][:, None], n[right]
+            ok = (agree >= enough * len(sketch) - 1e-9) & (label[here][:, None] != label[right])
+            ok &= np.minimum(x, y) >= least * np.maximum(x, y) - 1e-9
+            if same:
+                ok &= here[:, None] < right
+            i, j = np.nonzero(ok)
+            i, j = here[i], right[j]
+            # Two that share the path of an earlier tree meet there.
+            for s in range(t):
+                apart = (path[i, s] != path[j, s]).any(axis=1)
+                i, j = i[apart], j[apart]
+            yield _pairs(c, i, j)
+
+    return whole_runs(batches, ("t", "region", "_a", "_b"), found)
 
 
 def _confirm(n: int, least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,13 +286,18 @@ def dedup(docs: DataFrame, n: int = 5, least: int = 80, key: str = "doc_id", tex
         facts = reps.withColumn("label", F.col("c")) if label is None else reps.join(
             label, "c", "left").withColumn("label", F.coalesce("label", "c"))
         near = small.join(facts, "c").repartition(parts, "t", "region").sortWithinPartitions("t", "region", "c")
-        near = near.mapInArrow(partial(_search, least / 100, label is None, 0), "a long, b long")
-        ordered = large.join(facts, "c").withColumn("region", F.expr("xxhash64(path)"))
-        ordered = ordered.repartitionByRange(parts, "t", "path", "sig", "c").sortWithinPartitions("t", "path", "sig", "c")
-        ordered = ordered.select("c", "t", "region", "n", "label", "sig").mapInArrow(
-            partial(_search, least / 100, label is None, 1 if label is None else ALONG), "a long, b long"
-        )
-        return near.union(ordered).distinct()
+        near = near.mapInArrow(partial(_search, least / 100, label is None), "a long, b long")
+        crowded = large.withColumn("region", F.expr("xxhash64(path)")).join(facts, "c")
+        if label is None:
+            # Within a region by the values of the trees that follow: another order in each tree.
+            crowded = crowded.withColumn("turn", F.expr(f"concat(substring(sig, t * {4 * DEPTH} + 1), sig)"))
+            crowded = crowded.repartitionByRange(parts, "t", "turn", "c").sortWithinPartitions("t", "turn", "c")
+            met = crowded.select("c", "t", "region", "n", "label", "sig").mapInArrow(partial(_beside, least / 100), "a long, b long")
+        else:
+            key = ["t", "region", "_a", "_b"]
+            met = _blocks(crowded).repartition(parts, *key).sortWithinPartitions(*key)
+            met = met.mapInArrow(partial(_meet, least / 100), "a long, b long")
+        return near.union(met).distinct()
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         both = pairs.join(bodies.toDF("a", "xa"), "a").join(bodies.toDF("b", "xb"), "b")

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from orderloom.llm import forest
 
 SMALL = "/root/testdata/sf0.01"
@@ -86,3 +88,27 @@ def test_crowded_regions_and_edges(spark, make, monkeypatch):
     components = {c if k else ("alone", j) for j, ((i, _), (k, c)) in enumerate(zip(rows, want, strict=True))}
     assert kept.count() == len(components)
     assert forest.dedup(make([])).count() == 0 and forest.keep(make([(1, None)])).count() == 1
+
+
+def test_crowd_on_one_template_is_met_whole(spark, make):
+    """Twins just above the threshold among 800 texts of one template just below it: more than a
+    thousand pairs lie in regions large at full depth, and nothing but the template is shared."""
+    rng = random.Random(11)
+    template = [f"w{i}" for i in range(80)]
+    texts = []
+    for k in range(400):
+        common = rng.sample(template, 72)
+        texts += [" ".join(common + [f"u{k}x{side}x{j}" for j in range(8)]) for side in (0, 1)]
+    ids = rng.sample(range(10_000), len(texts))
+    at = {w: i for i, w in enumerate(sorted({w for t in texts for w in t.split()}))}
+    holds = np.zeros((len(texts), len(at)), np.float32)
+    for row, text in zip(holds, texts, strict=True):
+        row[[at[w] for w in text.split()]] = 1
+    both = holds @ holds.T
+    near = 100 * both >= 80 * (160 - both)
+    least = np.array(ids)
+    while (now := np.where(near, least, 10_000).min(axis=1)).tolist() != least.tolist():
+        least = now
+    assert 350 <= len(set(least.tolist())) <= 400
+    found = {r.id: r.component_id for r in forest.dedup(make(list(zip(ids, texts, strict=True))), n=1).collect()}
+    assert found == dict(zip(ids, least.tolist(), strict=True))
