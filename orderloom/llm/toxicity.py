@@ -270,15 +270,18 @@ def _cut(toxic: np.ndarray, clean: np.ndarray) -> float:
 
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[str]]:
     """The fitted sample: of each class the label of smallest hash in each of TOXIC_TEXTS or
-    CLEAN_TEXTS slots; texts are cut at CHARS. Null labels and ids teach nothing."""
+    CLEAN_TEXTS slots, with one text of its id by hash; texts are cut at CHARS. Null labels and ids teach nothing."""
     chosen = labels.where("toxic is not null and doc_id is not null").selectExpr(
         "cast(doc_id as bigint) as id", "if(toxic = 0, 0, 1) as toxic", "xxhash64(doc_id, 6) as h"
     )
     slot = F.expr(f"pmod(h, if(toxic = 1, {TOXIC_TEXTS}, {CLEAN_TEXTS}))").alias("slot")
     chosen = chosen.groupBy("toxic", slot).agg(F.min_by("id", "h").alias("id"))
-    found = docs.selectExpr("cast(doc_id as bigint) as id", f"substring(text, 1, {CHARS}) as start").join(
-        F.broadcast(chosen.select("id", "toxic")), "id"  # a bounded number of rows
-    ).where("start is not null").orderBy("id", "start").limit(2 * (TOXIC_TEXTS + CLEAN_TEXTS)).collect()
+    # One text of an id, so that there are no more rows than slots however often an id repeats.
+    found = docs.where("text is not null").selectExpr(
+        "cast(doc_id as bigint) as id", f"substring(text, 1, {CHARS}) as start", "xxhash64(text, 6) as h"
+    ).join(F.broadcast(chosen.select("id", "toxic")), "id")  # a bounded number of rows
+    found = found.groupBy("id", "toxic").agg(F.expr("min_by(start, struct(h, start))").alias("start"))
+    found = found.orderBy("id", "toxic").collect()
     return [r.start for r in found if r.toxic], [r.start for r in found if not r.toxic]
 
 

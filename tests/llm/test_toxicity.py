@@ -58,3 +58,12 @@ def test_edges(spark, make):
     assert toxicity.predict(make([]), model).count() == 0
     nothing = toxicity.train([], [])
     assert toxicity.Scorer(nothing)(["idiot"])[0] < 0.5
+
+
+def test_sample_of_a_repeated_id(spark, make):
+    """One id with more rows than the sample holds leaves the texts of larger ids in it."""
+    docs = make([(1, "a fine day")]).crossJoin(spark.range(13_000).select("id")).selectExpr("doc_id", "concat(text, id) as text")
+    docs = docs.union(make([(i, f"you idiot {i}") for i in range(2, 12)]).select("doc_id", "text"))
+    labels = spark.createDataFrame([(1, 0), *((i, 1) for i in range(2, 12))], "doc_id long, toxic int")
+    toxic, clean = toxicity.sample(docs, labels)
+    assert sorted(toxic) == sorted(f"you idiot {i}" for i in range(2, 12)) and len(clean) == 1
