@@ -22,10 +22,9 @@ from .common import documents, key_remainder, text_bytes, write_once
 
 #: States, words with a symbol of their own, classes of the others.
 STATES, HEAD, CLASSES = 8, 32_768, 1024
-#: Starting point: Baum-Welch rounds over about so many training texts, cut at so many characters.
-SAMPLE, CHARS, SAMPLE_ROUNDS = 2048, 4000, 15
-#: Baum-Welch rounds over all training texts.
-ROUNDS = 2
+#: Baum-Welch rounds over all training texts: so many at the most, and after LEAST of them only while
+#: a round gains this share of the log likelihood.
+ROUNDS, LEAST, GAIN = 30, 10, 1e-4
 #: In training, texts are read as sequences of at most so many tokens; scoring reads them whole.
 PIECE = 64
 #: Added to counts of words, and weight of the symbols' overall frequencies in a state's emissions.
@@ -228,9 +227,9 @@ def _expect(sent):
             for low in range(0, len(texts), 500):
                 counts.add(m, [v.sequence(t.lower().split()) for t in texts[low : low + 500]])
         rows = np.flatnonzero(counts.emit.any(axis=1))
-        # Moves and starts travel as symbols below 0.
-        names = np.concatenate([rows, -1 - np.arange(STATES), [-1 - STATES]])
-        table = np.vstack([counts.emit[rows], counts.move, counts.start])
+        # Moves, starts and the log likelihood travel as symbols below 0.
+        names = np.concatenate([rows, -1 - np.arange(STATES), [-1 - STATES, -2 - STATES]])
+        table = np.vstack([counts.emit[rows], counts.move, counts.start, np.full(STATES, counts.score)])
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.int32()), *(pa.array(table[:, k].astype(np.float32)) for k in range(STATES))],
             names=["symbol", *columns],
@@ -239,8 +238,9 @@ def _expect(sent):
     return run
 
 
-def baum_welch(texts: DataFrame, m: Model, v: Vocabulary) -> Model:
-    """One round over all texts: tasks add up expected counts, Spark adds up the tasks'."""
+def baum_welch(texts: DataFrame, m: Model, v: Vocabulary) -> tuple[Model, float]:
+    """One round over all texts: tasks add up expected counts, Spark adds up the tasks'. Also returns
+    the log likelihood of the texts under ``m``."""
     sent = texts.sparkSession.sparkContext.broadcast((m, v))  # HEAD + CLASSES symbols
     columns = [f"s{k}" for k in range(STATES)]
     found = texts.select("text").mapInArrow(_expect(sent), "symbol int, " + ", ".join(f"{c} float" for c in columns))
@@ -252,9 +252,11 @@ def baum_welch(texts: DataFrame, m: Model, v: Vocabulary) -> Model:
             counts.emit[r.symbol] = values
         elif r.symbol == -1 - STATES:
             counts.start = np.array(values)
+        elif r.symbol == -2 - STATES:
+            counts.score = values[0]
         else:
             counts.move[-1 - r.symbol] = values
-    return counts.model(v)
+    return counts.model(v), counts.score
 
 
 def forward(m: Model, sequences: list[np.ndarray]) -> np.ndarray:
@@ -347,17 +349,12 @@ def fit(train: DataFrame) -> tuple[Model, Vocabulary, DataFrame]:
     ends = train.count()
     v = vocabulary(words, ends)
     m = first_model(v)
-    every = max(1, ends // SAMPLE)
-    sample = train.where(f"pmod(xxhash64(doc_id, 7), {every}) = 0").selectExpr(
-        "doc_id", f"substring(text, 1, {CHARS}) as text"
-    ).limit(2 * SAMPLE).collect()
-    sequences = [v.sequence(bytes(t).lower().split()) for t in sorted(bytes(r.text) for r in sample)]
-    for _ in range(SAMPLE_ROUNDS if sequences else 0):
-        counts = Counts(len(m.emit))
-        counts.add(m, sequences)
-        m = counts.model(v)
-    for _ in range(ROUNDS if ends else 0):
-        m = baum_welch(train, m, v)
+    last = -np.inf
+    for k in range(ROUNDS if ends else 0):
+        m, value = baum_welch(train, m, v)
+        if k >= LEAST and value - last < GAIN * abs(value):
+            break
+        last = value
     return m, v, words
 
 

@@ -96,3 +96,17 @@ def test_edges(spark, make, monkeypatch, tmp_path, empty):
     found = hmm.score_documents(spark, str(tmp_path)).collect()
     check(found, rows)
     assert all(math.isfinite(r.score) for r in found)
+
+
+def test_every_round_reads_all_texts_whole(spark, monkeypatch):
+    """Two rounds equal two plain rounds over whole texts, what stands after character 4,000 included."""
+    monkeypatch.setattr(hmm, "ROUNDS", 2)
+    texts = [f"{'early words ' * 400}{'late text here ' * 50}t{i % 3}".encode() for i in range(20)]
+    train = spark.createDataFrame([(i, bytearray(t)) for i, t in enumerate(texts)], "doc_id long, text binary")
+    m, v, _ = hmm.fit(train)
+    want = hmm.first_model(v)
+    for _ in range(2):
+        counts = hmm.Counts(len(want.emit))
+        counts.add(want, [v.sequence(t.lower().split()) for t in texts])
+        want = counts.model(v)
+    assert np.allclose(m.emit, want.emit, rtol=1e-3) and np.allclose(m.move, want.move, rtol=1e-3)
