@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, key_remainder
 
-#: The fitted sample: so many texts of each language by smallest hash, and so much of each.
+#: The fitted sample: so many different texts of each language by smallest hash, and so much of each.
 TEXTS, CHARS = 64, 1024
 #: Languages are a dimension; more than this is an error.
 MAX_LANGUAGES = 1000
@@ -40,8 +40,8 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, by
     counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    # Each task keeps TEXTS rows of a language before the shuffle.
-    first = rows.selectExpr("*", "row_number() over (partition by lang order by h, start) as n").where(f"n <= {TEXTS}")
+    # Equal starts count once. Each task keeps TEXTS rows of a language before the shuffle by language.
+    first = rows.groupBy("lang", "start").agg(F.min("h").alias("h")).selectExpr("*", "row_number() over (partition by lang order by h, start) as n").where(f"n <= {TEXTS}")
     starts: dict[str, list] = {r["lang"]: [] for r in sorted(counts, key=lambda r: (-r["count"], r["lang"]))}
     for r in first.select("lang", "n", "start").collect():
         starts[r["lang"]].append((r["n"], r["start"]))
