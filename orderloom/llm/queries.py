@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, forest, hmm, language, mixing, neighbours, oracles, quantised, sharding, toxicity, urls
+from . import alignment, bpe, forest, hmm, language, mixing, neighbours, oracles, quantised, sharding, toxicity, urls
 from .common import documents
 
 #: The vocabulary of the queries; the operators take any rank file and pattern.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: The two tokenizers that are aligned.
+JSON, MODEL = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +54,11 @@ def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.dedup_documents(spark, sf_dir)
 
 
-QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op7_hidden_markov, op8_language_id, op9_url_filters, op10_minhash_forest)
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_documents(documents(spark, sf_dir), JSON, MODEL)
+
+
+QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op7_hidden_markov, op8_language_id, op9_url_filters, op10_minhash_forest, op12_token_alignment)
 
 
 def queries():
