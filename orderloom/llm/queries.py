@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, bpe, forest, hmm, language, mixing, neighbours, oracles, quantised, sharding, toxicity, urls
-from .common import documents
+from . import alignment, bpe, dialogue, forest, hmm, language, mixing, neighbours, oracles, quantised, sharding, toxicity, urls
+from .common import documents, table
 
 #: The vocabulary of the queries; the operators take any rank file and pattern.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -54,11 +54,15 @@ def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.dedup_documents(spark, sf_dir)
 
 
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_documents(documents(spark, sf_dir), JSON, MODEL)
 
 
-QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op7_hidden_markov, op8_language_id, op9_url_filters, op10_minhash_forest, op12_token_alignment)
+QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op7_hidden_markov, op8_language_id, op9_url_filters, op10_minhash_forest, op11_dialogue_repair, op12_token_alignment)
 
 
 def queries():
