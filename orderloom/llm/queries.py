@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, bpe, dialogue, forest, hmm, language, mixing, neighbours, oracles, quantised, sharding, toxicity, urls
+from . import alignment, bpe, dialogue, forest, hmm, language, mixing, neighbours, oracles, quantised, ranking, sharding, toxicity, urls
 from .common import documents, table
 
 #: The vocabulary of the queries; the operators take any rank file and pattern.
@@ -62,7 +62,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_documents(documents(spark, sf_dir), JSON, MODEL)
 
 
-QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op7_hidden_markov, op8_language_id, op9_url_filters, op10_minhash_forest, op11_dialogue_repair, op12_token_alignment)
+def op13_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.score_documents(spark, sf_dir)
+
+
+QUERIES = (op1_neighbours, op2_mixing, op3_sharding, op4_embedding_dedup, op5_byte_bpe, op6_toxicity, op7_hidden_markov, op8_language_id, op9_url_filters, op10_minhash_forest, op11_dialogue_repair, op12_token_alignment, op13_quality_ranking)
 
 
 def queries():
