@@ -21,7 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import write_once
@@ -29,7 +29,7 @@ from .common import write_once
 #: Steps of one piece of the merge.
 PIECE = 64
 #: Texts at a time, and words remembered, by a task.
-SLICE, REMEMBERED = 200, 400_000
+SLICE, REMEMBERED = 200, 200_000
 #: What B writes for a space.
 SPACE = "▁"
 
@@ -243,18 +243,9 @@ def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 ALIGNED = {"a_ids": "array<int>", "b_ids": "array<int>", "a_sizes": "array<int>", "b_sizes": "array<int>"}
 
 
-def align(df: DataFrame, json_path: str, model_path: str, text: str = "text") -> DataFrame:
-    """``df`` without the text, with the token ids of both sides and the sizes of the groups that
-    their common ends cut them into; other columns of these four names are replaced.
-
-    Null and empty texts, and those of which a tokenizer changes the bytes, have empty lists.
-    Repeated rows are worked on like any other, an empty table gives none, and a text of any length
-    is encoded whole.
-    """
-    rest = [c for c in df.columns if c != text and c not in ALIGNED]
-    key, files = (json_path, model_path), df.sparkSession.sparkContext.broadcast(_files(json_path, model_path))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*(f"`{c}`" for c in rest)).schema]
-    schema = ", ".join([*kept, *(f"{name} {kind}" for name, kind in ALIGNED.items())])
+def _aligner(spark: SparkSession, json_path: str, model_path: str, rest: list[str]):
+    """What a task does to batches of the columns ``rest`` and, behind them, the text."""
+    key, files = (json_path, model_path), spark.sparkContext.broadcast(_files(json_path, model_path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _OPEN:
@@ -274,7 +265,22 @@ def align(df: DataFrame, json_path: str, model_path: str, text: str = "text") ->
                 names=[*rest, *ALIGNED],
             )
 
-    return df.select(*(f"`{c}`" for c in rest), F.col(f"`{text}`").cast("string").alias(text)).mapInArrow(run, schema)
+    return run
+
+
+def align(df: DataFrame, json_path: str, model_path: str, text: str = "text") -> DataFrame:
+    """``df`` without the text, with the token ids of both sides and the sizes of the groups that
+    their common ends cut them into; other columns of these four names are replaced.
+
+    Null and empty texts, and those of which a tokenizer changes the bytes, have empty lists.
+    Repeated rows are worked on like any other, an empty table gives none, and a text of any length
+    is encoded whole.
+    """
+    rest = [c for c in df.columns if c != text and c not in ALIGNED]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*(f"`{c}`" for c in rest)).schema]
+    schema = ", ".join([*kept, *(f"{name} {kind}" for name, kind in ALIGNED.items())])
+    rows = df.select(*(f"`{c}`" for c in rest), F.col(f"`{text}`").cast("string").alias(text))
+    return rows.mapInArrow(_aligner(df.sparkSession, json_path, model_path, rest), schema)
 
 
 def _numbers(column: pa.Array) -> np.ndarray:
@@ -317,7 +323,7 @@ def link_documents(docs: DataFrame, json_path: str, model_path: str) -> DataFram
     are added up within each task first; the whole list of them has a length fixed by the
     vocabularies, so it may pass the driver and be broadcast.
     """
-    aligned = align(docs.selectExpr("cast(doc_id as bigint) as doc_id", "text"), json_path, model_path)
+    aligner = _aligner(docs.sparkSession, json_path, model_path, ["doc_id"])
     both = Tokenizers(*_files(json_path, model_path))
     pairs = linkable(both.a_bytes, both.b_bytes)
     context = docs.sparkSession.sparkContext
@@ -327,7 +333,7 @@ def link_documents(docs: DataFrame, json_path: str, model_path: str) -> DataFram
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, spelling = sent.value
-        for batch in _slices(batches):
+        for batch in aligner(batches):
             lists = [batch.column(name) for name in ALIGNED]
             a, b, a_sizes, b_sizes = map(_numbers, lists)
             n_a, n_b, n_groups, _ = map(_sizes, lists)
@@ -348,7 +354,8 @@ def link_documents(docs: DataFrame, json_path: str, model_path: str) -> DataFram
                 names=[*schema],
             )
 
-    digests = aligned.mapInArrow(digest, ", ".join(f"{name} {kind}" for name, kind in schema.items()))
+    rows = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
+    digests = rows.mapInArrow(digest, ", ".join(f"{name} {kind}" for name, kind in schema.items()))
     digests = write_once(digests, "aligned")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
