@@ -8,13 +8,15 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from .csv_records import read_records
+
 SOURCE_DIR_ENV = "ORDERLOOM_SOURCE_DIR"
 
 
 @dataclass(frozen=True)
 class CsvTable:
-    """``multiline``: free text may hold line breaks. Such a file cannot be split between tasks, so
-    only the table that needs it is read that way."""
+    """``multiline``: free text may hold line breaks. Such a file is read three times, so only the
+    table that needs it is read that way."""
 
     name: str
     files: tuple[str, ...]
@@ -74,28 +76,33 @@ def resolve_source_dir(spark: SparkSession, given: str | None = None, root: str
     raise FileNotFoundError(f"no folder of CSV files; not found: {candidates}")
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, multiline: bool = False, keep_bad: bool = False
+) -> DataFrame:
     """All columns as text under their header names; an empty field is NULL. Types are not guessed,
     so zip codes keep their leading zeros, and staging reads columns by name.
 
-    A row with more or fewer fields than the header stops the read, as does a file of the folder
-    whose header differs from the first one's. A line break inside quotes is such a row unless
-    ``multiline`` is set; a multi-line file is read by one task.
+    A row with more or fewer fields than the header stops the read; with ``keep_bad`` it stands in
+    the columns ``csv_records.BAD`` instead. A line break inside quotes is such a row unless
+    ``multiline`` is set. A file of the folder whose header differs from the first one's stops the
+    read, but where records are put together (``multiline``, ``keep_bad``) its columns may stand in
+    another order.
     """
     reader = spark.read.options(header=True, encoding="UTF-8", quote='"', escape='"')
-    reader = reader.option("multiLine", multiline)
     names = reader.csv(path).schema
+    if multiline or keep_bad:
+        return read_records(spark, path, names.names, multiline, keep_bad)
     strict = reader.options(enforceSchema=False, mode="FAILFAST", columnPruning=False)
     return strict.schema(names).csv(path)
 
 
 def open_table(
-    spark: SparkSession, table: str, source_dir: str, multiline: bool = False
+    spark: SparkSession, table: str, source_dir: str, multiline: bool = False, keep_bad: bool = False
 ) -> tuple[DataFrame, str]:
     """A raw table and the path it was found at: the first of its file names that exists."""
     spec = RAW_TABLES[table]
     paths = [f"{source_dir.rstrip('/')}/{file}" for file in spec.files]
     for path in paths:
         if _found(spark, path):
-            return read_csv(spark, path, multiline or spec.multiline), path
+            return read_csv(spark, path, multiline or spec.multiline, keep_bad), path
     raise FileNotFoundError(f"table {table}: no file in {source_dir}, looked for {', '.join(spec.files)}")
