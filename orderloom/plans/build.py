@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.csv_tables import RAW_TABLES, resolve_source_dir
-from ..sources.ingest import create_database, ingest, read_raw
+from ..sources.ingest import ingest, read_raw
+from ..sources.publish import Staged, create_database, discard, publish, stage
 from . import gold, quality, staging
 from .intermediate import int_orders_enriched
 
@@ -64,37 +65,63 @@ def build(raw: dict[str, DataFrame], calendar: DataFrame) -> dict[str, DataFrame
     }
 
 
-def save_gold(
+def stage_gold(
     spark: SparkSession,
     models: dict[str, DataFrame],
     database: str = "gold",
     location: str | None = None,
     by_month: bool = False,
-) -> dict[str, DataFrame]:
-    """Replace the gold tables and return the models with their gold part read from the tables.
+) -> dict[str, Staged]:
+    """Write the gold tables aside, each to a fresh folder; the tables in use are not touched.
 
     fct_daily_sales is computed from the written fct_orders, so the central join runs once.
     ``by_month`` partitions fct_orders by the month of its date, for reports over a few months.
     """
     create_database(spark, database, location)
 
-    def save(name: str, rows: DataFrame) -> DataFrame:
-        writer, columns = rows.write, rows.columns
+    def write(name: str, rows: DataFrame) -> Staged:
         if by_month and name == "fct_orders":
             month = F.date_format("date_key", "yyyy-MM")
             # One task per month and slice of orders, so that a month is a few files.
-            parted = rows.withColumn(MONTH, month).repartition(MONTH, F.expr("pmod(hash(order_id), 8)"))
-            writer = parted.write.partitionBy(MONTH)
-        writer.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
-        return spark.table(f"{database}.{name}").select(*columns)
+            rows = rows.withColumn(MONTH, month).repartition(MONTH, F.expr("pmod(hash(order_id), 8)"))
+            return stage(rows, database, name, (MONTH,))
+        return stage(rows, database, name)
 
     first = [name for name in GOLD_TABLES if name != "fct_daily_sales"]
-    with ThreadPoolExecutor(len(first)) as pool:  # dimensions do not wait for the order fact
-        saved = dict(zip(first, pool.map(lambda name: save(name, models[name]), first)))
-    saved["fct_daily_sales"] = save(
-        "fct_daily_sales", gold.fct_daily_sales(saved["fct_orders"])
-    )
-    return {**models, **saved}
+    staged: dict[str, Staged] = {}
+    try:
+        with ThreadPoolExecutor(len(first)) as pool:  # dimensions do not wait for the order fact
+            jobs = {name: pool.submit(write, name, models[name]) for name in first}
+        staged = {name: job.result() for name, job in jobs.items() if job.exception() is None}
+        for job in jobs.values():
+            job.result()
+        facts = staged["fct_orders"].read(spark)
+        staged["fct_daily_sales"] = write("fct_daily_sales", gold.fct_daily_sales(facts))
+    except BaseException:
+        discard(spark, list(staged.values()))
+        raise
+    return staged
+
+
+def _read_staged(
+    spark: SparkSession, models: dict[str, DataFrame], staged: dict[str, Staged]
+) -> dict[str, DataFrame]:
+    read = {name: one.read(spark).select(*models[name].columns) for name, one in staged.items()}
+    return {**models, **read}
+
+
+def save_gold(
+    spark: SparkSession,
+    models: dict[str, DataFrame],
+    database: str = "gold",
+    location: str | None = None,
+    by_month: bool = False,
+) -> dict[str, DataFrame]:
+    """Replace the gold tables and return the models with their gold part read from the tables. All
+    are written before the first is replaced, see ``stage_gold``."""
+    staged = stage_gold(spark, models, database, location, by_month)
+    tables = publish(spark, list(staged.values()))
+    return {**models, **{name: df.select(*models[name].columns) for name, df in tables.items()}}
 
 
 def _stop_on_failures(stage: str, verdicts: DataFrame) -> None:
@@ -120,8 +147,8 @@ def run(
     """Load, check, build, check again. Returns one verdict row per check.
 
     With ``fail``, a raw table that is stale at ``as_of`` (now) and a failing check of the raw and
-    staging tables stop the build before a gold table is replaced, and a failing check of the gold
-    tables stops it after. An empty raw table has no load to be fresh and counts as stale.
+    staging tables stop the build before a gold table is written, and a failing check of the gold
+    tables, which are checked where they were written aside, before one is replaced. An empty raw table has no load to be fresh and counts as stale.
     """
     ingest(spark, resolve_source_dir(spark, source_dir), raw_database, loaded_at=loaded_at)
     raw = read_raw(spark, raw_database, tuple(RAW_TABLES))
@@ -134,8 +161,13 @@ def run(
         )
         inputs = {name: df for name, df in {**raw, **models}.items() if name not in GOLD_TABLES}
         _stop_on_failures("raw and staging", stale.unionByName(quality.input_suite(inputs)))
-    models = save_gold(spark, models, gold_database)
-    verdicts = quality.check_suite({**raw, **models})
+    staged = stage_gold(spark, models, gold_database)
+    verdicts = quality.check_suite({**raw, **_read_staged(spark, models, staged)})
     if fail:
-        _stop_on_failures("gold", verdicts)
+        try:
+            _stop_on_failures("gold", verdicts)
+        except FailedChecks:
+            discard(spark, list(staged.values()))
+            raise
+    publish(spark, list(staged.values()))
     return verdicts

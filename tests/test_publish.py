@@ -1,0 +1,116 @@
+"""Tables replaced in steps."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from orderloom.plans import build
+from orderloom.sources import publish
+from orderloom.sources.ingest import drop_tables, ingest
+from pyspark.sql import functions as F
+from shop import SAMPLE, write_csv
+
+
+@pytest.fixture(scope="module")
+def database(spark):
+    publish.create_database(spark, "steps")
+    return "steps"
+
+
+def folders(spark, database: str, table: str) -> list[str]:
+    path = f"{spark.catalog.getDatabase(database).locationUri}/{table}__files".removeprefix("file:")
+    return sorted(os.listdir(path)) if os.path.exists(path) else []
+
+
+def numbers(spark, n: int, wrong: int = -1):
+    """Rows 0 to n - 1; the write fails at the row ``wrong``."""
+    boom = f"if(id = {wrong}, cast(raise_error('broken') as bigint), id)"
+    return spark.range(0, n, 1, 8).selectExpr(f"{boom} as id")
+
+
+def ids(spark, name: str) -> list[int]:
+    return sorted(r.id for r in spark.table(name).collect())
+
+
+def test_failed_write_leaves_the_old_rows(spark, database):
+    publish.publish(spark, [publish.stage(numbers(spark, 5), database, "kept")])
+    with pytest.raises(Exception, match="broken"):
+        publish.stage(numbers(spark, 100, wrong=77), database, "kept")
+    assert ids(spark, "steps.kept") == list(range(5))
+    assert len(folders(spark, database, "kept")) == 1
+
+
+def test_a_reader_keeps_what_it_began_with(spark, database):
+    publish.publish(spark, [publish.stage(numbers(spark, 5), database, "read")])
+    before = spark.table("steps.read")
+    staged = publish.stage(numbers(spark, 9), database, "read")
+    assert ids(spark, "steps.read") == list(range(5))  # not yet
+    publish.publish(spark, [staged])
+    assert before.count() == 5 and ids(spark, "steps.read") == list(range(9))
+    for n in (1, 2, 3):
+        publish.publish(spark, [publish.stage(numbers(spark, n), database, "read")])
+    assert len(folders(spark, database, "read")) == 2 and ids(spark, "steps.read") == [0, 1, 2]
+
+
+def test_rows_lost_on_the_way_are_found(spark, database, monkeypatch):
+    publish.publish(spark, [publish.stage(numbers(spark, 5), database, "lost")])
+    read = publish.Staged.read
+    monkeypatch.setattr(publish.Staged, "read", lambda self, spark: read(self, spark).limit(3))
+    with pytest.raises(publish.IncompleteWrite, match="steps.lost: 8 rows written, 3 found"):
+        publish.stage(numbers(spark, 8), database, "lost")
+    monkeypatch.undo()
+    assert ids(spark, "steps.lost") == list(range(5))
+
+
+def test_columns_and_partitions_may_change(spark, database):
+    publish.publish(spark, [publish.stage(numbers(spark, 5), database, "wide")])
+    more = numbers(spark, 4).selectExpr("id", "cast(id % 2 as string) as half")
+    publish.publish(spark, [publish.stage(more, database, "wide", ("half",))])
+    assert [r[0] for r in spark.sql("show partitions steps.wide").collect()] == ["half=0", "half=1"]
+    assert spark.table("steps.wide").where("half = '1'").count() == 2
+    only = more.where("half = '0'")
+    publish.publish(spark, [publish.stage(only, database, "wide", ("half",))])
+    assert [r[0] for r in spark.sql("show partitions steps.wide").collect()] == ["half=0"]
+    publish.publish(spark, [publish.stage(numbers(spark, 3), database, "wide")])
+    assert spark.table("steps.wide").columns == ["id"] and ids(spark, "steps.wide") == [0, 1, 2]
+
+
+def test_table_written_by_other_means_is_taken_over(spark, database):
+    numbers(spark, 3).write.saveAsTable("steps.foreign_one")
+    publish.publish(spark, [publish.stage(numbers(spark, 2), database, "foreign_one")])
+    assert ids(spark, "steps.foreign_one") == [0, 1]
+    drop_tables(spark, database)
+    assert not spark.catalog.listTables(database) and folders(spark, database, "foreign_one") == []
+
+
+def test_measures_are_taken_while_writing(spark, database):
+    staged = publish.stage(numbers(spark, 10), database, "measured", measures=[F.sum("id").alias("total")])
+    assert staged.observed == {"row_count": 10, "total": 45}
+    publish.discard(spark, [staged])
+    assert folders(spark, database, "measured") == [] and not spark.catalog.tableExists("steps.measured")
+
+
+def test_one_broken_file_leaves_all_raw_tables(spark, tmp_path):
+    folder = write_csv(tmp_path, SAMPLE)
+    ingest(spark, folder, "whole_raw")
+    write_csv(tmp_path, {**SAMPLE, "olist_orders": SAMPLE["olist_orders"][:1]})
+    with (tmp_path / "olist_sellers.csv").open("a") as file:
+        file.write("short\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        ingest(spark, folder, "whole_raw")
+    assert spark.table("whole_raw.olist_orders").count() == len(SAMPLE["olist_orders"])
+
+
+def test_gold_is_checked_before_it_is_replaced(spark, tmp_path, monkeypatch):
+    folder = write_csv(tmp_path, SAMPLE)
+    build.run(spark, folder, "audit_raw", "audit_gold")
+    fewer = {**SAMPLE, "olist_order_items": SAMPLE["olist_order_items"][:2]}
+    write_csv(tmp_path, fewer)
+    daily = build.gold.fct_daily_sales
+    monkeypatch.setattr(build.gold, "fct_daily_sales", lambda facts: daily(facts).withColumn("gross_sales", F.lit(-1.0)))
+    with pytest.raises(build.FailedChecks, match="gold"):
+        build.run(spark, folder, "audit_raw", "audit_gold")
+    assert spark.table("audit_gold.fct_orders").count() == 4
+    assert spark.table("audit_gold.fct_daily_sales").where("gross_sales < 0").count() == 0
+    assert len(folders(spark, "audit_gold", "fct_orders")) == 1
