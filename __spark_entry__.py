@@ -348,6 +348,52 @@ def ingest_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("table_name", "row_count")
 
 
+ITEM_FIELDS = "order_id order_item_id product_id seller_id shipping_limit_date price freight_value".split()
+
+
+def _ragged_items(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Order items as CSV: each 50th order has a field too many, the order before it one too few."""
+    fields = ", ".join(f"cast({name} as string)" for name in ITEM_FIELDS)
+    most = ", ".join(f"cast({name} as string)" for name in ITEM_FIELDS[:-1])
+    line = (
+        f"case when order_id % 50 = 0 then concat_ws(',', {fields}, 'extra') "
+        f"when order_id % 50 = 49 then concat_ws(',', {most}) else concat_ws(',', {fields}) end"
+    )
+    # One column named like the whole header, parted by a mark that no line holds.
+    lines = roles.order_items(spark, sf_dir).select(F.expr(line).alias(",".join(ITEM_FIELDS)))
+    lines.write.mode("overwrite").options(header=True, sep="\x01").csv(path)
+
+
+def ingest_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items with malformed rows: what is loaded, what is set aside and what the report says."""
+    database, root = _database(spark, "rejected")
+    _ragged_items(spark, sf_dir, f"{root}/csv/olist_order_items.csv")
+    report = loading.ingest(spark, f"{root}/csv", database, ("olist_order_items",), most_bad=0.2)
+    loaded = spark.table(f"{database}.olist_order_items").selectExpr("'loaded' as kind", "price")
+    rejected = spark.table(f"{database}.olist_order_items_rejected").selectExpr(
+        f"if(size(split(_bad_record, ',')) > {len(ITEM_FIELDS)}, 'long', 'short') as kind",
+        f"split(_bad_record, ',')[{ITEM_FIELDS.index('price')}] as price",
+    )
+    totals = loaded.unionAll(rejected).groupBy("kind").agg(
+        F.expr("count(*) as row_count"), F.expr("round(sum(cast(price as double)), 2) as price")
+    )
+    told = report.selectExpr("stack(2, 'report good', row_count, 'report bad', bad_count) as (kind, row_count)")
+    return totals.unionAll(told.selectExpr("kind", "row_count", "cast(null as double) as price"))
+
+
+def ingest_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items after a load and a second one that is stopped by its malformed rows."""
+    table = "olist_order_items"
+    _ingested(spark, sf_dir, "kept", (table,))
+    database, root = _database(spark, "kept")
+    _ragged_items(spark, sf_dir, f"{root}/csv/{table}.csv")
+    try:
+        loading.ingest(spark, f"{root}/csv", database, (table,), most_bad=0.0)
+    except loading.TooManyBadRows:
+        return spark.table(f"{database}.{table}").select("order_id", "order_item_id", "product_id", "seller_id")
+    raise AssertionError("malformed rows were loaded")
+
+
 def raw_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Age of the eight raw tables, loaded at one fixed instant and looked at from another."""
     raw, _ = _ingested(spark, sf_dir, "freshness", loading.RAW_TABLES, LOADED_AT)
@@ -356,7 +402,7 @@ def raw_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with quotes, commas and line breaks through CSV and back."""
+    """Texts with quotes, commas and line breaks through CSV and back, by many tasks for one file."""
     path = shared_path(spark, "texts.csv")
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
         "cast(doc_id as string) as doc_id", "concat('\"', replace(text, ' ', ', '), '\"\n') as text"
@@ -415,6 +461,8 @@ QUERIES = (
     gold_tables,
     ingest_roundtrip,
     ingest_row_counts,
+    ingest_rejected,
+    ingest_kept,
     raw_freshness,
     ingest_quoted,
     whole_numbers,
