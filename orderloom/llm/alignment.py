@@ -29,7 +29,7 @@ from .common import write_once
 #: Steps of one piece of the merge.
 PIECE = 64
 #: Texts at a time, and words remembered, by a task.
-SLICE, REMEMBERED = 200, 200_000
+SLICE, REMEMBERED = 200, 300_000
 #: What B writes for a space.
 SPACE = "▁"
 
@@ -112,11 +112,11 @@ class Tokenizers:
     def _spelt(ids: Iterable[int], tokens: list[bytes], want: bytes) -> bool:
         return want == b"".join(map(tokens.__getitem__, ids))
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         if len(self.a_known) > REMEMBERED:
             for known in (self.a_known, self.b_known, self.changed):
                 known.clear()
-        unknown = set(words).difference(self.a_known)
+        unknown = words.difference(self.a_known)
         marked = [w for w in unknown if w[-1] in self.marks and w[:-1].isalpha()]
         new = list(unknown.difference(marked).union([w[:-1] for w in marked]).difference(self.a_known))
         if new:
@@ -137,7 +137,7 @@ class Tokenizers:
         a word that comes out changed, and of any other, the whole text decides.
         """
         cut = [t.split(" ") if t and self.by_word and not LOOSE.search(f" {t}") else None for t in texts]
-        self._learn([w for words in cut if words for w in words])
+        self._learn(set().union(*(words for words in cut if words)))
         if self.changed:
             cut = [None if words is None or not self.changed.isdisjoint(words) else words for words in cut]
         rest = [t for t, words in zip(texts, cut, strict=True) if t and words is None]
