@@ -24,7 +24,7 @@ from orderloom.plans import build, gold, intermediate, quality, reports, staging
 from orderloom.sources import ingest as loading  # noqa: E402
 from orderloom.sources import warehouse_roles as roles  # noqa: E402
 from orderloom.sources.csv_tables import read_csv  # noqa: E402
-from orderloom.sources.shared import shared_path, write_once  # noqa: E402
+from orderloom.sources.shared import shared_path, write_measured, write_once  # noqa: E402
 
 try:  # the training-data operators are a part that can be left out
     import corpus_pipeline
@@ -175,59 +175,68 @@ def state_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # checks
 
 
-def _first_written(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> quality.Tables:
-    """The tables that several checks read, written once each with the columns the checks read.
-
-    The order items are joined once per written table; the daily fact comes from the written order
-    fact and the dimensions from the written staging tables.
-    """
-    names = set(names)
-    needs = {
-        "fct_daily_sales": "fct_orders",
-        "dim_customer": "stg_customers",
-        "dim_product": "stg_products",
-        "dim_seller": "stg_sellers",
-        "dim_payment_type": "stg_payments",
-    }
-    names |= {needs[name] for name in names if name in needs}
-    sources = {
-        "stg_orders": lambda: stg_orders(spark, sf_dir).select(*quality.NOT_NULL["stg_orders"]),
-        "stg_customers": lambda: stg_customers(spark, sf_dir),
-        "stg_products": lambda: stg_products(spark, sf_dir),
-        "stg_sellers": lambda: stg_sellers(spark, sf_dir),
-        "stg_payments": lambda: stg_payments(spark, sf_dir),
-        "stg_reviews": lambda: stg_reviews(spark, sf_dir),
-        "fct_orders": lambda: _facts(spark, sf_dir).select(*quality.NOT_NULL["fct_orders"]),
+def _tables(spark: SparkSession, sf_dir: str) -> quality.Tables:
+    """All tables that checks read, as plans: a check that reads each once needs nothing written, and
+    its plan computes no column and no join but those it reads."""
+    tables = {
+        "olist_orders": roles.orders(spark, sf_dir),
+        "olist_customers": roles.customers(spark, sf_dir),
+        "stg_orders": stg_orders(spark, sf_dir),
+        "stg_customers": stg_customers(spark, sf_dir),
+        "stg_products": stg_products(spark, sf_dir),
+        "stg_sellers": stg_sellers(spark, sf_dir),
+        "stg_payments": stg_payments(spark, sf_dir),
+        "stg_reviews": stg_reviews(spark, sf_dir),
+        "fct_orders": _facts(spark, sf_dir),
+        "dim_date": dim_date(spark, sf_dir),
     }
-    chosen = [name for name in sources if name in names]
-    with ThreadPoolExecutor(max(1, len(chosen))) as pool:
-        tables = dict(zip(chosen, pool.map(lambda n: write_once(sources[n](), n), chosen)))
-    derived = {
-        "fct_daily_sales": lambda: write_once(
-            gold.fct_daily_sales(tables["fct_orders"]), "fct_daily_sales"
-        ),
-        "dim_customer": lambda: gold.dim_customer(tables["stg_customers"]),
-        "dim_product": lambda: gold.dim_product(tables["stg_products"]),
-        "dim_seller": lambda: gold.dim_seller(tables["stg_sellers"]),
-        "dim_payment_type": lambda: gold.dim_payment_type(tables["stg_payments"]),
-        "dim_date": lambda: dim_date(spark, sf_dir),
-        "olist_orders": lambda: roles.orders(spark, sf_dir),
-        "olist_customers": lambda: roles.customers(spark, sf_dir),
+    return _with_derived(tables)
+
+
+def _with_derived(tables: quality.Tables) -> quality.Tables:
+    """With the daily fact and the dimensions, which come from other tables."""
+    return {
+        "fct_daily_sales": gold.fct_daily_sales(tables["fct_orders"]),
+        "dim_customer": gold.dim_customer(tables["stg_customers"]),
+        "dim_product": gold.dim_product(tables["stg_products"]),
+        "dim_seller": gold.dim_seller(tables["stg_sellers"]),
+        "dim_payment_type": gold.dim_payment_type(tables["stg_payments"]),
+        **tables,
     }
-    return tables | {name: derived[name]() for name in names if name in derived}
+
+
+def _written(spark: SparkSession, sf_dir: str) -> tuple[quality.Tables, quality.Observed]:
+    """The tables of the suite, those with a join or an aggregate written once, and what their
+    row-level checks and totals counted while they were written."""
+    tables = _tables(spark, sf_dir)
+
+    def write(name: str) -> tuple:
+        columns = set(quality.NOT_NULL[name]) | set(quality.ACCEPTED_RANGES.get(name, ()))
+        if name == "fct_daily_sales":
+            columns |= {"line_count"}
+        rows = tables[name].select(*(c for c in tables[name].columns if c in columns))
+        return write_measured(rows, name, quality.metrics(name))
+
+    first = ["stg_orders", "stg_products", "fct_orders"]
+    with ThreadPoolExecutor(len(first)) as pool:
+        found = dict(zip(first, pool.map(write, first)))
+    facts = found["fct_orders"][0]
+    tables["fct_daily_sales"] = gold.fct_daily_sales(facts)
+    found["fct_daily_sales"] = write("fct_daily_sales")
+    written = {name: df for name, (df, _) in found.items()}
+    return {**tables, **written}, {name: seen for name, (_, seen) in found.items()}
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.unique_suite(_first_written(spark, sf_dir, dict(quality.UNIQUE)))
+    return quality.unique_suite(_tables(spark, sf_dir))
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.not_null_suite(_first_written(spark, sf_dir, quality.NOT_NULL))
+    return quality.not_null_suite(_tables(spark, sf_dir))
 
 
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = [name for child, _, parent, _ in quality.RELATIONSHIPS for name in (child, parent)]
-    return quality.relationships_suite(_first_written(spark, sf_dir, names))
+    return quality.relationships_suite(_tables(spark, sf_dir))
 
 
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,7 +244,7 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.accepted_range_suite(_first_written(spark, sf_dir, quality.ACCEPTED_RANGES))
+    return quality.accepted_range_suite(_tables(spark, sf_dir))
 
 
 def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,8 +252,8 @@ def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _both_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    tables = _first_written(spark, sf_dir, ["fct_orders", "fct_daily_sales"])
-    return tables["fct_daily_sales"], tables["fct_orders"]
+    facts = _facts(spark, sf_dir)
+    return gold.fct_daily_sales(facts), facts
 
 
 def dq_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,11 +297,9 @@ def dq_lines_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks, with the mart's own calendar, which does not come from the orders it checks."""
-    tables = _first_written(
-        spark, sf_dir, [*quality.NOT_NULL, *dict(quality.UNIQUE), "stg_customers", "stg_sellers"]
-    )
+    tables, observed = _written(spark, sf_dir)
     calendar = gold.dim_date(gold.calendar_bounds(spark))
-    return quality.check_suite({**tables, "dim_date": calendar})
+    return quality.check_suite({**tables, "dim_date": calendar}, observed)
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:

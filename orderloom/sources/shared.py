@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -32,6 +33,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/orderloom-{uuid.uuid4().hex}/{name}"
 
 
+def measured(df: DataFrame, measures: Sequence[Column], path: str | None = None) -> dict:
+    """Aggregates of ``df`` taken while its rows are written to ``path``, or while they pass by."""
+    seen = Observation()
+    rows = df.observe(seen, *measures).write
+    rows.parquet(path) if path else rows.format("noop").mode("overwrite").save()
+    return dict(seen.get)
+
+
+def write_measured(df: DataFrame, name: str, measures: Sequence[Column]) -> tuple[DataFrame, dict]:
+    """``write_once``, with aggregates taken on the way."""
+    path = shared_path(df.sparkSession, name)
+    found = measured(df, measures, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), found
+
+
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and return the table read back: its readers
     prune columns, and a lost executor costs no more than reading a file again."""

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+import __spark_entry__ as driver
 import pytest
-from orderloom.plans import quality
+from orderloom.plans import gold, quality
+from orderloom.sources.shared import measured, write_measured
 from pyspark.sql import functions as F
 
 
@@ -108,3 +110,49 @@ def test_freshness_thresholds(spark):
         "unstamped": "error",
     }
     assert {r["table_name"]: r["age_seconds"] for r in verdicts}["day"] == 23 * 3600
+
+
+def verdict_rows(df) -> list[tuple]:
+    return sorted((r.table_name, r.column_name, r.check_name, r.failures) for r in df.collect())
+
+
+def broken_fact(spark):
+    return spark.sql(
+        "select * from values ('a', 1L, 10d, 1d, 11d), (null, 2L, -1d, null, null), ('c', null, 5d, -2d, 3d) "
+        "as t(order_line_id, order_id, item_price, freight_value, gross_item_amount)"
+    ).selectExpr(
+        "*", "1L as customer_id", "cast(null as bigint) as product_id", "2L as seller_id",
+        "'boleto' as payment_type", "date'2018-01-01' as date_key",
+    )
+
+
+@pytest.mark.parametrize("rows", [3, 0])
+def test_observed_metrics_are_the_row_level_checks(spark, rows):
+    facts = broken_fact(spark).limit(rows)
+    written, seen = write_measured(facts, "facts", quality.metrics("fct_orders"))
+    known = quality.observed_rows("fct_orders", seen)
+    assert sorted(known) == verdict_rows(quality.row_verdicts(facts, "fct_orders", quality.row_measures("fct_orders")))
+    assert len(known) == 12 and (rows == 0 or sum(n for *_, n in known) == 9)
+    daily = gold.fct_daily_sales(facts)
+    observed = {"fct_orders": seen, "fct_daily_sales": measured(daily, quality.metrics("fct_daily_sales"))}
+    plain = quality.line_count_matches(daily, facts).unionAll(quality.sales_reconcile(daily, facts))
+    assert sorted(quality.observed_reconciliations(observed)) == verdict_rows(plain)
+    # Totals that differ show in both forms.
+    fewer = facts.where("order_line_id = 'a'")
+    observed["fct_orders"] = measured(fewer, quality.metrics("fct_orders"))
+    plain = quality.line_count_matches(daily, fewer).unionAll(quality.sales_reconcile(daily, fewer))
+    assert sorted(quality.observed_reconciliations(observed)) == verdict_rows(plain)
+
+
+def test_counts_of_distinct_values_are_not_observed(spark):
+    names = [str(c) for c in quality.metrics("stg_payments")]
+    assert not any("distinct" in name.lower() for name in names)
+    assert len(names) == len(quality.NOT_NULL["stg_payments"]) + 1
+
+
+def test_suite_looks_at_no_row_of_a_fact_again(spark):
+    tables, observed = driver._written(spark, "/root/testdata/sf0.001")
+    facts = {name: tables[name] for name in ("fct_orders", "fct_daily_sales")}
+    text = quality.row_level_suite(facts, observed)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in text and "Scan" in text
+    assert verdict_rows(quality.check_suite(tables, observed)) == verdict_rows(quality.check_suite(tables))
