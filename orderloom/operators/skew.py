@@ -4,7 +4,7 @@ Adaptive skew handling only splits a join whose two inputs are bare shuffles. Th
 of the mart's central join is itself a chain of joins and aggregates, so it would never be split.
 Hot keys are therefore divided explicitly: rows of a hot key are dealt over several splits and the
 matching rows of the other side are copied to each of them. Which keys are hot follows from counts
-per key alone; a join without hot keys runs the same plan with an empty list.
+per key alone, or from a sketch of them; a join without hot keys runs the same plan with an empty list.
 """
 
 from __future__ import annotations
@@ -38,6 +38,36 @@ def hot_keys(counts: DataFrame, key: str, rows: str) -> DataFrame:
     )
 
 
+#: Keys a sketch keeps. Its counts are off by at most 3.5 rows in this many, less than the share that
+#: makes a key hot, so no hot key is missed.
+TRACKED = 1 << 16
+#: Groups in which the sketches of the tasks are merged before one task merges theirs.
+MERGERS = 256
+
+
+def frequent_keys(rows: DataFrame, key: str) -> DataFrame:
+    """``hot_keys`` of ``rows`` by a sketch of frequent items instead of a count per key.
+
+    Nothing is shuffled but the sketches, at most TRACKED keys for each task. Counts may be off by
+    a little, so a key just at the limit may or may not be divided; joins give the same either way.
+    """
+    least = int(rows.sparkSession.conf.get(MIN_ROWS_CONF, str(DEFAULT_MIN_ROWS)))
+    merged = (
+        rows.where(F.col(key).isNotNull())
+        .groupBy(F.expr(f"pmod(spark_partition_id(), {MERGERS})").alias("_merger"))
+        .agg(F.expr(f"approx_top_k_accumulate({key}, {TRACKED}) as _sketch"), F.expr("count(*) as _rows"))
+        .groupBy(F.lit(0).alias("_all"))  # no group, and no sketch to merge, where there are no rows
+        .agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED}) as _sketch"), F.expr("sum(_rows) as _rows"))
+    )
+    limit = f"greatest({least}L, cast(ceil(_rows / {HOT_KEYS}) as bigint)) as _limit"
+    listed = merged.selectExpr(
+        limit, f"inline(approx_top_k_estimate(_sketch, {HOT_KEYS})) as (_item, _count)"
+    )
+    return listed.where("_count > _limit").selectExpr(
+        f"_item as {key}", "cast(ceil(_count / _limit) as int) as _parts"
+    )
+
+
 def _parts(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(hot), key, "left").withColumn(
         "_parts", F.coalesce("_parts", F.lit(1))

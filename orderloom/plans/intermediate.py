@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import top_type
-from ..operators import hot_keys, spread_join
+from ..operators import frequent_keys, spread_join
 from .staging import ORDER_COLUMNS, order_headers, order_items, with_line_columns
 
 ENRICHED_COLUMNS = (
@@ -108,10 +108,11 @@ def int_orders_enriched(
     """Order lines with their order's payment total, main payment type, mean review and length.
 
     ``orders`` and ``items`` are raw, ``payments`` and ``reviews`` staged. An order with too many
-    items for one task is divided; the lengths that tell are those the profile already has.
+    items for one task is divided; a sketch of the items tells which, so a plan that does not read the
+    orders' lengths does not count them.
     """
     profiles = order_profiles(orders, items, payments, reviews)
-    hot = hot_keys(line_counts(orders, items), "order_id", "order_item_count")
+    hot = frequent_keys(items, "order_id")
     lines = with_line_columns(spread_join(order_items(items), profiles, "order_id", hot))
     return lines.selectExpr(
         *ORDER_COLUMNS,

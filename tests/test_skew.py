@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import __spark_entry__ as driver
 import pytest
 from orderloom.operators import skew, spread_join
 from orderloom.plans import build, gold, intermediate, reports, staging
@@ -143,3 +144,41 @@ def test_adaptive_skew_join_splits_a_hot_customer(spark, tmp_path, request):
     report = reports.state_orders(facts, customers)
     assert sum(row["orders"] for row in report.collect()) == 30000
     assert "skew=true" in report._jdf.queryExecution().executedPlan().toString()
+
+
+# the sketch
+
+
+def frequent(rows, key="k"):
+    return {row[key]: row["_parts"] for row in skew.frequent_keys(rows, key).collect()}
+
+
+def test_sketch_finds_what_counts_find(divide, spark, lines):
+    assert frequent(lines) == {7: 101} == {row["k"]: row["_parts"] for row in hot(lines).collect()}
+    text = lines.selectExpr("'order ' || k as k")
+    assert frequent(text) == {"order 7": 101}
+    assert frequent(lines.where("false")) == {} and frequent(lines.where("k is null")) == {}
+
+
+def test_sketch_of_more_keys_than_it_keeps(divide, spark):
+    """A million keys, of which three are hot; the sketch keeps a small part of them."""
+    rows = spark.range(0, 1_500_000, 1, 16).selectExpr("if(id % 3 = 0, id % 9, id + 100) as k")
+    found = frequent(rows)
+    assert set(found) == {0, 3, 6}
+    limit = -(-1_500_000 // skew.HOT_KEYS)
+    exact = -(-166_667 // limit)
+    assert all(abs(parts - exact) <= 5 for parts in found.values())
+
+
+def test_sketch_list_is_bounded(divide, spark):
+    assert frequent(spark.range(0, 100_000, 1, 8).selectExpr("id % 20000 as k")) == {}
+    assert len(frequent(spark.range(0, 100_000, 1, 8).selectExpr("id % 3000 as k"))) == 3000
+
+
+def test_sketch_replaces_the_shuffle_of_counts(spark):
+    """Nothing is shuffled by order to learn which orders are long."""
+    items = roles.order_items(spark, SMALL)
+    text = skew.frequent_keys(items, "order_id")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(order_id" not in text and "hashpartitioning(l_orderkey" not in text and "approx_top_k" in text
+    kpi = driver.kpi_summary(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "approx_top_k" in kpi and "sum(item" not in kpi and "header" not in kpi
