@@ -4,7 +4,7 @@ Every tree orders documents by a signature string of its own. Documents with a c
 region; a region is read at the least depth at which it is small, so a sparse neighbourhood is
 searched with a short prefix and a crowded one with a long prefix. Regions that stay large at full
 depth meet as pairs of blocks, without the pairs already in one component. Candidates are confirmed
-on whole shingle sets.
+on whole shingle sets, those of a crowd where its blocks meet.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ REGION = 64
 BLOCK = 1024
 #: Sketch: of each signature value four bits. Its estimate deviates by 0.045 at similarity 0.8.
 SLACK = 0.2
+#: Pairs of a run checked before it is seen again which are still apart, and shingles kept for them.
+CHECKED, HELD = 256, 8_000_000
 #: Classes that a task knows it has met.
 REMEMBERED = 200_000
 
@@ -195,14 +197,36 @@ def _blocks(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("mine", F.expr("filter(sequence(0, size(owns) - 1), k -> owns[k] <=> own)"))
     rows = rows.withColumn("_mine", F.expr("mine[cast(pmod(xxhash64(c), size(mine)) as int)]"))
     others = "filter(sequence(0, size(owns) - 1), k -> owns[k] is null or not owns[k] <=> own)"
-    rows = rows.selectExpr(*region, "c", "n", "label", "sig", "_mine", f"explode({others}) as _other")
+    rows = rows.selectExpr(*region, "c", "n", "label", "sig", "body", "_mine", f"explode({others}) as _other")
     return rows.selectExpr(
-        *region, "c", "n", "label", "sig", "_mine", "least(_mine, _other) as _a", "greatest(_mine, _other) as _b"
+        *region, "c", "n", "label", "sig", "body", "_mine", "least(_mine, _other) as _a", "greatest(_mine, _other) as _b"
     )
 
 
-def _meet(least: float, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates among whole runs, each of one pair of blocks of a large region."""
+class _Sets:
+    """Shingle sets of the rows of one pair of blocks, by row; so many numbers are kept at once."""
+
+    def __init__(self, body: pa.ChunkedArray, n: int):
+        self.body, self.n, self.unpack = body, n, zstandard.ZstdDecompressor()
+        self.known: dict[int, np.ndarray] = {}
+        self.held = 0
+
+    def __getitem__(self, row: int) -> np.ndarray:
+        found = self.known.get(row)
+        if found is None:
+            found = shingles(self.unpack.decompress(self.body[row].as_py()).split(), self.n)
+            if self.held > HELD:
+                self.known.clear()
+                self.held = 0
+            self.known[row], self.held = found, self.held + len(found)
+        return found
+
+
+def _meet(size: int, percent: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links within whole runs, each of one pair of blocks of a large region: of all pairs that are
+    similar enough, those that join components not yet joined by others of the run. So a run has
+    fewer links than documents, and the components are those of all its links."""
+    least = percent / 100
 
     def found(rows: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         for low, high in zip(starts, ends, strict=True):
@@ -211,6 +235,8 @@ def _meet(least: float, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Record
     def pair(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         c, n, label, mine = (rows[k].to_numpy() for k in ("c", "n", "label", "_mine"))
         t, same = rows["t"][0].as_py(), rows["_a"][0].as_py() == rows["_b"][0].as_py()
+        sets, (_, part) = _Sets(rows["body"], size), np.unique(label, return_inverse=True)
+        root = np.arange(len(c))  # of each label its component's number
         sketch = _sketch(rows["sig"]).T.copy()
         path = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint32).reshape(len(c), TREES, DEPTH)
         left = np.arange(len(c)) if same else np.flatnonzero(mine == mine.min())
@@ -230,16 +256,33 @@ def _meet(least: float, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Record
             if same:
                 ok &= here[:, None] < right
             i, j = np.nonzero(ok)
-            i, j = here[i], right[j]
+            order = np.argsort(-agree[i, j].astype(np.int64), kind="stable")  # the likeliest first
+            i, j = here[i[order]], right[j[order]]
             # Two that share the path of an earlier tree meet there.
             for s in range(t):
                 apart = (path[i, s] != path[j, s]).any(axis=1)
                 i, j = i[apart], j[apart]
-            yield _pairs(c, i, j)
+            linked = []
+            while len(i):
+                apart = root[part[i]] != root[part[j]]
+                i, j = i[apart], j[apart]
+                for x, y in zip(i[:CHECKED].tolist(), j[:CHECKED].tolist()):
+                    one, two = root[part[x]], root[part[y]]
+                    if one != two and _similar(sets[x], sets[y], percent):
+                        root[root == max(one, two)] = min(one, two)
+                        linked.append((x, y))
+                i, j = i[CHECKED:], j[CHECKED:]
+            if linked:
+                yield _pairs(c, *np.array(linked).T)
 
     return whole_runs(batches, ("t", "region", "_a", "_b"), found)
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirm(n: int, least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of pairs with packed words, those whose shingle sets are similar enough. Pairs come sorted by
     the first document, whose set is kept."""
@@ -250,9 +293,7 @@ def _confirm(n: int, least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[
         for i, (a, x, y) in enumerate(zip(*(batch.column(k).to_pylist() for k in ("a", "xa", "xb")), strict=True)):
             if a != last:
                 last, mine = a, shingles(words(x), n)
-            other = shingles(words(y), n)
-            both = len(np.intersect1d(mine, other, assume_unique=True))
-            if 100 * both >= least * (len(mine) + len(other) - both):
+            if _similar(mine, shingles(words(y), n), least):
                 keep.append(i)
         at = pa.array(keep, pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], names=["a", "b"])
@@ -282,33 +323,33 @@ def dedup(docs: DataFrame, n: int = 5, least: int = 80, key: str = "doc_id", tex
     parts = width(docs.sparkSession)
     bodies = read.select("c", "body")
 
-    def candidates(label: DataFrame | None) -> DataFrame:
-        facts = reps.withColumn("label", F.col("c")) if label is None else reps.join(
-            label, "c", "left").withColumn("label", F.coalesce("label", "c"))
-        near = small.join(facts, "c").repartition(parts, "t", "region").sortWithinPartitions("t", "region", "c")
-        near = near.mapInArrow(partial(_search, least / 100, label is None), "a long, b long")
-        crowded = large.withColumn("region", F.expr("xxhash64(path)")).join(facts, "c")
-        if label is None:
-            # Within a region by the values of the trees that follow: another order in each tree.
-            crowded = crowded.withColumn("turn", F.expr(f"concat(substring(sig, t * {4 * DEPTH} + 1), sig)"))
-            crowded = crowded.repartitionByRange(parts, "t", "turn", "c").sortWithinPartitions("t", "turn", "c")
-            met = crowded.select("c", "t", "region", "n", "label", "sig").mapInArrow(partial(_beside, least / 100), "a long, b long")
-        else:
-            key = ["t", "region", "_a", "_b"]
-            met = _blocks(crowded).repartition(parts, *key).sortWithinPartitions(*key)
-            met = met.mapInArrow(partial(_meet, least / 100), "a long, b long")
-        return near.union(met).distinct()
+    def near(facts: DataFrame, nearest: bool) -> DataFrame:
+        rows = small.join(facts, "c").repartition(parts, "t", "region").sortWithinPartitions("t", "region", "c")
+        return rows.mapInArrow(partial(_search, least / 100, nearest), "a long, b long")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
+        pairs = write_once(pairs.distinct(), "pairs")
         both = pairs.join(bodies.toDF("a", "xa"), "a").join(bodies.toDF("b", "xb"), "b")
         both = both.select("a", "b", "xa", "xb").sortWithinPartitions("a")
         return both.mapInArrow(partial(_confirm, n, least), "a long, b long")
 
-    # First each document with its likeliest partners; then all candidates that are still apart.
-    links = write_once(confirmed(write_once(candidates(None), "pairs")), "links")
-    joined = connected(links, "a", "b").selectExpr("vertex as c", "component as label")
-    more = write_once(candidates(write_once(joined, "joined")), "pairs")
-    links = links.union(write_once(confirmed(more), "links"))
+    crowded = large.withColumn("region", F.expr("xxhash64(path)"))
+    # First each document with its likeliest partners, in a crowd with those beside it by the values of
+    # the trees that follow: another order in each tree.
+    facts = reps.withColumn("label", F.col("c"))
+    turned = crowded.join(facts, "c").withColumn("turn", F.expr(f"concat(substring(sig, t * {4 * DEPTH} + 1), sig)"))
+    turned = turned.repartitionByRange(parts, "t", "turn", "c").sortWithinPartitions("t", "turn", "c")
+    beside = turned.select("c", "t", "region", "n", "label", "sig").mapInArrow(partial(_beside, least / 100), "a long, b long")
+    links = write_once(confirmed(near(facts, True).union(beside)), "links")
+    joined = write_once(connected(links, "a", "b").selectExpr("vertex as c", "component as label"), "joined")
+    # Then all that are still apart. Pairs of a crowd are checked where they meet: a crowd has too many
+    # of them to send on.
+    facts = reps.join(joined, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    links = links.union(write_once(confirmed(near(facts, False)), "links"))
+    key = ["t", "region", "_a", "_b"]
+    blocks = _blocks(crowded.join(facts, "c").join(bodies.where("body is not null"), "c"))
+    blocks = blocks.repartition(parts, *key).sortWithinPartitions(*key)
+    links = links.union(write_once(blocks.mapInArrow(partial(_meet, n, least), "a long, b long"), "met"))
     parts_of = connected(links, "a", "b").selectExpr("vertex as c", "component as part")
     named = write_once(
         classes.join(parts_of, "c", "left").selectExpr("k", "coalesce(part, c) as part"), "named"
