@@ -36,7 +36,7 @@ except ModuleNotFoundError as error:
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 AS_OF = "timestamp_ntz'2024-01-31 00:00:00'"
-LOADED_AT = dt.datetime(2024, 1, 30, tzinfo=dt.timezone.utc)
+FRESH_AT = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -304,6 +304,11 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_suite({**tables, "dim_date": calendar}, observed)
 
 
+def dq_failing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What fails the declared checks, value by value."""
+    return quality.failing_values(_tables(spark, sf_dir))
+
+
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality.freshness(roles.loads(spark, sf_dir), F.expr(AS_OF))
     return verdicts.withColumn("max_loaded_at", F.expr("cast(max_loaded_at as timestamp_ntz)"))
@@ -404,9 +409,11 @@ def ingest_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Age of the eight raw tables, loaded at one fixed instant and looked at from another."""
-    raw, _ = _ingested(spark, sf_dir, "freshness", loading.RAW_TABLES, LOADED_AT)
-    verdicts = build.raw_freshness(raw, LOADED_AT + dt.timedelta(hours=30))
+    """Age of the eight raw tables, loaded at the instant of the newest event."""
+    newest = roles.loads(spark, sf_dir, aged=False).selectExpr("unix_micros(max(_loaded_at)) as us").first().us
+    loaded_at = dt.datetime.fromtimestamp(0, dt.timezone.utc) + dt.timedelta(microseconds=newest)
+    raw, _ = _ingested(spark, sf_dir, "freshness", loading.RAW_TABLES, loaded_at)
+    verdicts = build.raw_freshness(raw, FRESH_AT)
     return verdicts.select("table_name", "age_seconds", "status")
 
 
@@ -466,6 +473,7 @@ QUERIES = (
     dq_date_range,
     dq_lines_outside,
     dq_suite,
+    dq_failing_values,
     freshness,
     gold_tables,
     ingest_roundtrip,

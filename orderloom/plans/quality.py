@@ -431,6 +431,52 @@ def check_suite(tables: Tables, observed: Observed | None = None) -> DataFrame:
     )
 
 
+def _values(df: DataFrame, table: str, column: str, check: str, value: str, rows: str = "count(*)") -> DataFrame:
+    """What fails a check: each value, as text, with its number of rows."""
+    found = df.groupBy(F.expr(value).cast("string").alias("value")).agg(F.expr(f"{rows} as row_count"))
+    return found.selectExpr(
+        f"'{table}' as table_name", f"'{column}' as column_name", f"'{check}' as check_name",
+        "value", "cast(row_count as bigint) as row_count",
+    )
+
+
+def failing_values(tables: Tables) -> DataFrame:
+    """What fails the declared checks of the given tables, for whoever has to mend it: the value, as
+    text, and in how many rows it stands. A missing value is NULL; a combination of columns is its
+    parts joined by a comma. A check that passes has no row.
+
+    Rows are counted by value within each task before they are shuffled, so a value that fails
+    everywhere travels as one; what passes is filtered out at the scan.
+    """
+    parts = []
+    for table, rows in tables.items():
+        for column in NOT_NULL.get(table, ()):
+            parts.append(_values(rows.where(f"{column} is null"), table, column, "not_null", column))
+        for column, values in ACCEPTED_VALUES.get(table, {}).items():
+            listed = ", ".join(_literal(value) for value in values)
+            foreign = rows.where(f"{column} not in ({listed})")
+            parts.append(_values(foreign, table, column, "accepted_values", column))
+        for column, bounds in ACCEPTED_RANGES.get(table, {}).items():
+            beyond = rows.where(outside(column, *bounds))
+            parts.append(_values(beyond, table, column, "accepted_range", column))
+    for table, column in UNIQUE:
+        if table in tables:
+            known = tables[table].where(f"{column} is not null")
+            parts.append(_values(known, table, column, "unique", column).where("row_count > 1"))
+    for table, columns in UNIQUE_COMBINATIONS:
+        if table in tables:
+            groups = tables[table].groupBy(*columns).agg(F.expr("count(*) as n")).where("n > 1")
+            text = "concat_ws(',', " + ", ".join(f"coalesce(cast({c} as string), '')" for c in columns) + ")"
+            parts.append(_values(groups, table, ",".join(columns), "unique_combination", text, "sum(n)"))
+    for child, column, parent, field in RELATIONSHIPS:
+        if child in tables and parent in tables:
+            used = tables[child].where(f"{column} is not null").groupBy(column).agg(F.expr("count(*) as n"))
+            known = tables[parent].select(F.col(field).alias(column))
+            orphans = used.join(known, column, "left_anti")
+            parts.append(_values(orphans, child, column, "relationships", column, "sum(n)"))
+    return union(parts)
+
+
 def load_stamps(tables: Tables) -> DataFrame:
     return union(
         df.selectExpr(f"'{name}' as table_name", "cast(_loaded_at as timestamp) as _loaded_at")

@@ -167,10 +167,10 @@ RAW_ROLES = {
 }
 
 
-def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as load stamps: one source per event type."""
+def loads(spark: SparkSession, sf_dir: str, aged: bool = True) -> DataFrame:
+    """Events as load stamps: one source per event type, each set back by hours of its own if ``aged``."""
     ages = " ".join(f"when '{kind}' then {hours}" for kind, hours in EVENT_AGES)
-    back = f"make_dt_interval(0, case event_type {ages} else 0 end)"
+    back = f"make_dt_interval(0, case event_type {ages} else 0 end)" if aged else "interval 0 hours"
     return _table(spark, sf_dir, "events").selectExpr(
         "event_type as table_name", f"cast(ts - {back} as timestamp) as _loaded_at"
     )

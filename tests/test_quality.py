@@ -156,3 +156,29 @@ def test_suite_looks_at_no_row_of_a_fact_again(spark):
     text = quality.row_level_suite(facts, observed)._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in text and "Scan" in text
     assert verdict_rows(quality.check_suite(tables, observed)) == verdict_rows(quality.check_suite(tables))
+
+
+def test_failing_values_are_those_the_verdicts_count(spark):
+    facts = broken_fact(spark)
+    tables = {
+        "fct_orders": facts.unionAll(facts.where("order_line_id = 'a'")),
+        "stg_payments": spark.sql("select 1L as order_id, stack(4, 'cash', 'cash', 'boleto', null) as payment_type").selectExpr("*", "-2d as payment_value"),
+        "dim_customer": spark.sql("select 7L as customer_id, 'u' as customer_unique_id, 1 as x").drop("x"),
+        "fct_daily_sales": spark.sql("select date'2018-01-01' as date_key, 1L as seller_id, 1d as gross_sales from range(2)"),
+    }
+    found = {(r.table_name, r.column_name, r.check_name, r.value): r.row_count for r in quality.failing_values(tables).collect()}
+    assert found == {
+        ("fct_orders", "order_line_id", "not_null", None): 1,
+        ("fct_orders", "order_id", "not_null", None): 1,
+        ("fct_orders", "product_id", "not_null", None): 4,
+        ("fct_orders", "freight_value", "not_null", None): 1,
+        ("fct_orders", "gross_item_amount", "not_null", None): 1,
+        ("fct_orders", "item_price", "accepted_range", "-1.0"): 1,
+        ("fct_orders", "freight_value", "accepted_range", "-2.0"): 1,
+        ("fct_orders", "order_line_id", "unique", "a"): 2,
+        ("fct_orders", "customer_id", "relationships", "1"): 4,
+        ("stg_payments", "payment_type", "not_null", None): 1,
+        ("stg_payments", "payment_type", "accepted_values", "cash"): 2,
+        ("stg_payments", "payment_value", "accepted_range", "-2.0"): 4,
+        ("fct_daily_sales", "date_key,seller_id", "unique_combination", "2018-01-01,1"): 2,
+    }
