@@ -25,8 +25,8 @@ STATES, HEAD, CLASSES = 8, 32_768, 1024
 #: Baum-Welch rounds over all training texts: so many at the most, and after LEAST of them only while
 #: a round gains this share of the log likelihood.
 ROUNDS, LEAST, GAIN = 30, 10, 1e-4
-#: In training, texts are read as sequences of at most so many tokens; scoring reads them whole.
-PIECE = 64
+#: Tokens that are worked on at once in training: texts of about one length, all of them whole.
+TOKENS = 1_000_000
 #: Added to counts of words, and weight of the symbols' overall frequencies in a state's emissions.
 ADD, PRIOR = 0.1, 50.0
 #: Distinct words that a task counts before it hands them on.
@@ -39,16 +39,11 @@ def word_class(word: bytes) -> int:
 
 @dataclass
 class Model:
-    """``emit``: symbols by states; the last two rows are the end of a text and padding."""
+    """``emit``: symbols by states; the last two rows are the end of a text and one that never comes."""
 
     emit: np.ndarray
     move: np.ndarray
     start: np.ndarray
-    inner: np.ndarray
-
-    @property
-    def end(self) -> int:
-        return len(self.emit) - 2
 
 
 @dataclass
@@ -84,7 +79,7 @@ class Vocabulary:
         return np.array(found, np.int32)
 
     def frequencies(self) -> np.ndarray:
-        """Share of each symbol in training, smoothed; padding has none."""
+        """Share of each symbol in training, smoothed; the last has none."""
         each = np.concatenate([self.counts, self.class_sums, [self.ends]]) + ADD
         return np.append(each / each.sum(), 0.0)
 
@@ -148,8 +143,7 @@ def first_model(v: Vocabulary, seed: int = 7) -> Model:
     emit /= emit.sum(axis=0)
     emit[-1] = 1.0
     move = np.full((STATES, STATES), 0.1 / STATES) + 0.9 * np.eye(STATES)
-    flat = np.full(STATES, 1 / STATES)
-    return Model(emit, move, flat, flat)
+    return Model(emit, move, np.full(STATES, 1 / STATES))
 
 
 class Counts:
@@ -161,71 +155,98 @@ class Counts:
         self.start = np.zeros(STATES)
         self.score = 0.0
 
-    def add(self, m: Model, sequences: list[np.ndarray]) -> None:
-        """Forward and backward over the pieces of whole sequences, all pieces side by side."""
-        flat = np.concatenate(sequences)
+    def add(self, m: Model, sequences: list[np.ndarray], times: np.ndarray | None = None) -> None:
+        """Forward and backward over whole sequences, each counted so many times. Sequences come in any
+        order, but the nearer in length, the more of them run side by side."""
         sizes = np.array([len(s) for s in sequences])
-        begins = np.cumsum(sizes) - sizes
-        many = -(-sizes // PIECE)
-        owner = np.repeat(np.arange(len(sizes)), many)
-        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        begin = begins[owner] + step * PIECE
-        length = np.minimum(PIECE, begins[owner] + sizes[owner] - begin)
-        for low in range(0, len(begin), 4096):
-            part = slice(low, low + 4096)
-            self._add_pieces(m, flat, begin[part], length[part], step[part] == 0)
-
-    def _add_pieces(self, m: Model, flat, begin, length, is_first) -> None:
-        wide = int(length.max())
-        places = np.arange(wide)
-        valid = places[:, None] < length
-        tokens = np.where(valid, flat[np.minimum(begin + places[:, None], len(flat) - 1)], len(m.emit) - 1)
-        emit = m.emit[tokens]  # place, piece, state
-        ahead = np.empty_like(emit)
-        scale = np.empty((wide, len(begin)))
-        state = np.where(is_first[:, None], m.start, m.inner)
-        for t in range(wide):
+        times = np.ones(len(sizes)) if times is None else np.asarray(times, float)
+        order = np.argsort(-sizes, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(np.cumsum(sizes[order]) // TOKENS)) + 1):
+            self._add(m, [sequences[i] for i in part], sizes[part], times[part])
+
+    def _add(self, m: Model, sequences: list[np.ndarray], sizes: np.ndarray, times: np.ndarray) -> None:
+        """Sequences, longest first, place by place: those still running stand in front. States are
+        lines, so that each step works on whole rows; single precision is enough, as each place is
+        scaled, while counts and the likelihood add up in double."""
+        running = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # sizes > place
+        ends = np.cumsum(running)
+        begins = ends - running
+        rank = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(rank)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        tokens = np.empty(len(rank), np.int64)
+        tokens[begins[place] + rank] = np.concatenate(sequences)
+        emit, move = np.ascontiguousarray(m.emit.T, np.float32), m.move.astype(np.float32)
+        weight = times.astype(np.float32)
+        ahead, scale = np.empty((STATES, len(tokens)), np.float32), np.empty(len(tokens), np.float32)
+        state = np.tile(m.start.astype(np.float32)[:, None], len(sizes))
+        for t, (low, high) in enumerate(zip(begins, ends, strict=True)):
             if t:
-                state = state @ m.move
-            state = state * emit[t]
-            scale[t] = state.sum(axis=1)
-            state = state / scale[t][:, None]
-            ahead[t] = state
-        self.score += float(np.log(scale).sum())
-        back = np.ones((len(begin), STATES))
-        here = ahead.copy()
-        for t in range(wide - 1, 0, -1):
-            seen = emit[t] * back / scale[t][:, None]
-            self.move += m.move * (ahead[t - 1].T @ (seen * valid[t][:, None]))
-            back = seen @ m.move.T
-            here[t - 1] *= back
-        here *= valid[:, :, None]
-        self.start += here[0][is_first].sum(axis=0)
-        names = tokens.ravel()
+                state = move.T @ state[:, : high - low]
+            state = state * emit.take(tokens[low:high], axis=1)
+            scale[low:high] = state.sum(axis=0)
+            state /= scale[low:high]
+            ahead[:, low:high] = state
+        moved = np.zeros((STATES, STATES))
+        back = np.ones((STATES, running[-1]), np.float32)
+        for t in range(len(running) - 1, 0, -1):
+            low, high, before = begins[t], ends[t], begins[t - 1]
+            n = high - low
+            seen = emit.take(tokens[low:high], axis=1) * (back / scale[low:high])
+            moved += ahead[:, before : before + n] @ (seen * weight[:n]).T
+            back = np.ones((STATES, low - before), np.float32)
+            back[:, :n] = move @ seen
+            ahead[:, before : before + n] *= back[:, :n]
+        self.move += m.move * moved
+        self.start += ahead[:, : running[0]].astype(float) @ times
+        each = times[np.arange(len(tokens)) - np.repeat(begins, running)]
+        self.score += float(np.log(scale.astype(float)) @ each)
         for k in range(STATES):
-            self.emit[:, k] += np.bincount(names, here[:, :, k].ravel(), len(m.emit))
+            self.emit[:, k] += np.bincount(tokens, ahead[k] * each, len(m.emit))
 
     def model(self, v: Vocabulary) -> Model:
         emit = self.emit + PRIOR * v.frequencies()[:, None]
         emit[-1] = 0
-        inner = self.emit.sum(axis=0) + 1
         emit /= emit.sum(axis=0)
         emit[-1] = 1.0
         move = self.move + 1.0
         start = self.start + 1.0
-        return Model(emit, move / move.sum(axis=1, keepdims=True), start / start.sum(), inner / inner.sum())
+        return Model(emit, move / move.sum(axis=1, keepdims=True), start / start.sum())
+
+
+def encode(texts: DataFrame, v: Vocabulary) -> DataFrame:
+    """The different sequences of symbols of column text (bytes), as 32-bit numbers, and how often each
+    comes; written once for all rounds, those of about one length together."""
+    sent = texts.sparkSession.sparkContext.broadcast(v)  # HEAD words
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 500):
+                some = batch.column("text").slice(low, 500).to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array([sent.value.sequence(t.lower().split()).tobytes() for t in some])], names=["symbols"])
+
+    found = texts.select("text").mapInArrow(run, "symbols binary").groupBy("symbols").agg(F.count(F.lit(1)).alias("times"))
+    return write_once(found.sortWithinPartitions(F.desc(F.octet_length("symbols"))), "sequences")
 
 
 def _expect(sent):
     columns = [f"s{k}" for k in range(STATES)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, v = sent.value
+        m = sent.value
         counts = Counts(len(m.emit))
+        held: list[np.ndarray] = []
+        times: list[int] = []
+        tokens = 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for low in range(0, len(texts), 500):
-                counts.add(m, [v.sequence(t.lower().split()) for t in texts[low : low + 500]])
+            for data, n in zip(batch.column("symbols").to_pylist(), batch.column("times").to_pylist(), strict=True):
+                held.append(np.frombuffer(data, np.int32))
+                times.append(n)
+                tokens += len(held[-1])
+                if tokens >= TOKENS:
+                    counts.add(m, held, times)
+                    held, times, tokens = [], [], 0
+        if held:
+            counts.add(m, held, times)
         rows = np.flatnonzero(counts.emit.any(axis=1))
         # Moves, starts and the log likelihood travel as symbols below 0.
         names = np.concatenate([rows, -1 - np.arange(STATES), [-1 - STATES, -2 - STATES]])
@@ -238,12 +259,12 @@ def _expect(sent):
     return run
 
 
-def baum_welch(texts: DataFrame, m: Model, v: Vocabulary) -> tuple[Model, float]:
-    """One round over all texts: tasks add up expected counts, Spark adds up the tasks'. Also returns
-    the log likelihood of the texts under ``m``."""
-    sent = texts.sparkSession.sparkContext.broadcast((m, v))  # HEAD + CLASSES symbols
+def baum_welch(sequences: DataFrame, m: Model, v: Vocabulary) -> tuple[Model, float]:
+    """One round over all sequences of ``encode``, each read whole: tasks add up expected counts, Spark
+    adds up the tasks'. Also returns the log likelihood of the texts under ``m``."""
+    sent = sequences.sparkSession.sparkContext.broadcast(m)  # HEAD + CLASSES symbols
     columns = [f"s{k}" for k in range(STATES)]
-    found = texts.select("text").mapInArrow(_expect(sent), "symbol int, " + ", ".join(f"{c} float" for c in columns))
+    found = sequences.mapInArrow(_expect(sent), "symbol int, " + ", ".join(f"{c} float" for c in columns))
     sums = found.groupBy("symbol").agg(*(F.sum(c).alias(c) for c in columns)).collect()
     counts = Counts(len(m.emit))
     for r in sums:
@@ -256,6 +277,7 @@ def baum_welch(texts: DataFrame, m: Model, v: Vocabulary) -> tuple[Model, float]
             counts.score = values[0]
         else:
             counts.move[-1 - r.symbol] = values
+    sent.unpersist()
     return counts.model(v), counts.score
 
 
@@ -350,8 +372,9 @@ def fit(train: DataFrame) -> tuple[Model, Vocabulary, DataFrame]:
     v = vocabulary(words, ends)
     m = first_model(v)
     last = -np.inf
+    sequences = encode(train, v)
     for k in range(ROUNDS if ends else 0):
-        m, value = baum_welch(train, m, v)
+        m, value = baum_welch(sequences, m, v)
         if k >= LEAST and value - last < GAIN * abs(value):
             break
         last = value

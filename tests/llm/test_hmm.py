@@ -18,8 +18,7 @@ def small_model(rng, symbols=5):
     emit /= emit.sum(axis=0)
     move = rng.random((hmm.STATES, hmm.STATES))
     start = rng.random(hmm.STATES)
-    flat = np.full(hmm.STATES, 1 / hmm.STATES)
-    return hmm.Model(np.vstack([emit, np.ones(hmm.STATES)]), move / move.sum(axis=1, keepdims=True), start / start.sum(), flat)
+    return hmm.Model(np.vstack([emit, np.ones(hmm.STATES)]), move / move.sum(axis=1, keepdims=True), start / start.sum())
 
 
 def paths(m, seq):
@@ -110,3 +109,65 @@ def test_every_round_reads_all_texts_whole(spark, monkeypatch):
         counts.add(want, [v.sequence(t.lower().split()) for t in texts])
         want = counts.model(v)
     assert np.allclose(m.emit, want.emit, rtol=1e-3) and np.allclose(m.move, want.move, rtol=1e-3)
+
+
+def plain_counts(m, seq):
+    """Expected counts of one sequence by the textbook recursions, in double, place by place."""
+    alpha, scale = [m.start * m.emit[seq[0]]], []
+    for s in seq[1:]:
+        scale.append(alpha[-1].sum())
+        alpha[-1] = alpha[-1] / scale[-1]
+        alpha.append((alpha[-1] @ m.move) * m.emit[s])
+    scale.append(alpha[-1].sum())
+    alpha[-1] = alpha[-1] / scale[-1]
+    emit, move, beta = np.zeros_like(m.emit), np.zeros_like(m.move), np.ones(hmm.STATES)
+    for t in range(len(seq) - 1, -1, -1):
+        emit[seq[t]] += alpha[t] * beta
+        if t:
+            seen = m.emit[seq[t]] * beta / scale[t]
+            move += m.move * np.outer(alpha[t - 1], seen)
+            beta = m.move @ seen
+        else:
+            start = alpha[0] * beta
+    return emit, move, start, np.log(scale).sum()
+
+
+@pytest.mark.parametrize("tokens", [600, 10**6])
+def test_long_sequences_are_not_cut(monkeypatch, tokens):
+    monkeypatch.setattr(hmm, "TOKENS", tokens)
+    rng = np.random.default_rng(2)
+    m = small_model(rng)
+    seqs = [rng.integers(0, 5, n) for n in (500, 1, 2, 64, 65, 129, 500, 3)]
+    times = np.array([1, 5, 1, 2, 1, 1, 3, 1])
+    counts = hmm.Counts(len(m.emit))
+    counts.add(m, seqs, times)
+    want = [sum(n * x for n, x in zip(times, parts, strict=True)) for parts in zip(*(plain_counts(m, s) for s in seqs), strict=True)]
+    for got, exact in zip((counts.emit, counts.move, counts.start, counts.score), want, strict=True):
+        assert np.allclose(got, exact, rtol=1e-4)
+
+
+def test_score_of_the_query_equals_a_plain_version(spark, monkeypatch):
+    """Vocabulary, rounds, likelihoods and the rare words' part, all again without Spark."""
+    monkeypatch.setattr(hmm, "HEAD", 300)
+    monkeypatch.setattr(hmm, "ROUNDS", 3)
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, (r.text or "").encode().lower().split()) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    train = [words for i, words in rows if zlib.crc32(str(i).encode()) % 10]
+    found = {r.doc_id: r.score for r in hmm.score_documents(spark, folder).collect()}
+    _, v, _ = hmm.fit(spark.createDataFrame([(bytearray(b" ".join(w)),) for w in train], "text binary"))
+    n = Counter(w for words in train for w in words)
+    head = set(v.symbols)
+    assert head == {w for w, k in n.items() if k >= min(n[h] for h in head)} and all(v.counts[v.symbols[w]] == n[w] for w in head)
+    rare = Counter(hmm.word_class(w) for w in n.elements() if w not in head)
+    kinds = Counter(hmm.word_class(w) for w in n if w not in head)
+    m = hmm.first_model(v)
+    for _ in range(3):
+        parts = [plain_counts(m, v.sequence(words)) for words in train]
+        counts = hmm.Counts(len(m.emit))
+        counts.emit, counts.move, counts.start = (sum(p[k] for p in parts) for k in range(3))
+        m = counts.model(v)
+    for i, words in rows:
+        *_, likelihood = plain_counts(m, v.sequence(words))
+        word = lambda w: math.log10((n[w] + 0.1) / (rare[hmm.word_class(w)] + 0.1 * (kinds[hmm.word_class(w)] + 1)))
+        score = likelihood / math.log(10) + sum(word(w) for w in words if w not in head)
+        assert found[i] == pytest.approx(score, rel=1e-4)
