@@ -9,7 +9,7 @@ from orderloom.sources.shared import shared_path, write_once
 
 __all__ = [
     "WORD", "connected", "documents", "key_remainder", "sampled", "shared_path", "table",
-    "text_bytes", "width", "write_once",
+    "text_bytes", "unused", "width", "write_once",
 ]
 
 #: A word: what stands between ASCII white space. ``bytes.split()`` splits exactly so.
@@ -44,6 +44,17 @@ def sampled(df: DataFrame, columns: list[str], by: str, slots: int) -> list[Row]
     return [r.row for r in least.select("row").collect()]
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def width(spark: SparkSession) -> int:
     """How many tasks a shuffle of this session has."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

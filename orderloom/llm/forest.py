@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, connected, documents, text_bytes, width, write_once
+from .common import WORD, connected, documents, text_bytes, unused, width, write_once
 from .runs import pairs_in_runs, whole_runs
 
 #: Trees, and signature values along a tree. Two documents of similarity 0.8 share the first value in
@@ -373,12 +373,12 @@ WORDED = f"coalesce(text rlike r'{WORD}', false)"
 
 
 def keep(docs: DataFrame, n: int = 5, least: int = 80) -> DataFrame:
-    """One row of each component with all its columns, and all rows without words. Of repeated rows
-    (same doc_id and text) any one stays."""
-    keys = ["_id", "_h1", "_h2"]
+    """One row of each component with all its columns, whatever their names, and all rows without
+    words. Of repeated rows (same doc_id and text) any one stays."""
+    keys = unused(docs, "_id", "_h1", "_h2")
     best = dedup(docs.where(WORDED), n, least).where("first").selectExpr(
-        "coalesce(id, -9223372036854775808) as _id", "h1 as _h1", "h2 as _h2"
-    ).distinct()
+        "coalesce(id, -9223372036854775808)", "h1", "h2"
+    ).toDF(*keys).distinct()
     named = docs.where(WORDED).withColumns(dict(zip(keys, map(F.expr, KEYS), strict=True)))
     kept = named.join(best, keys).dropDuplicates(keys).select(*docs.columns)
     return kept.union(docs.where(f"not {WORDED}"))

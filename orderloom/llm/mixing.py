@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, write_once
+from .common import WORD, unused, write_once
 
 #: Documents in one step of the seeded order; only the step at a quota's end is looked at singly.
 STEP = 1024
@@ -214,13 +214,13 @@ KEYS = ("coalesce(cast(doc_id as bigint), -9223372036854775808)", "xxhash64(text
 
 
 def repeat(docs: DataFrame, seed: int = 20) -> DataFrame:
-    """The mix itself: each row with all its columns as often as the mix takes it.
+    """The mix itself: each row with all its columns, whatever their names, as often as the mix takes it.
 
     Repeated rows (same doc_id and text) add up what is taken of each and may change places.
     """
-    keys = ["_id", "_h1", "_h2"]
+    *keys, times, time = unused(docs, "_id", "_h1", "_h2", "_times", "_time")
     mixed = mix(docs, "array(cast(source as string))", WORDS, KEYS, seed=seed)
-    times = mixed.where("copies > 0").toDF(*keys, *mixed.columns[3:]).groupBy(*keys).agg(F.sum("copies").alias("_times"))
+    taken = mixed.where("copies > 0").toDF(*keys, *mixed.columns[3:]).groupBy(*keys).agg(F.sum("copies").cast("int").alias(times))
     named = docs.withColumns(dict(zip(keys, map(F.expr, KEYS), strict=True)))
-    once = named.join(times, keys).dropDuplicates(keys)
-    return once.withColumn("_time", F.explode(F.expr("sequence(1, int(_times))"))).select(*docs.columns)
+    once = named.join(taken, keys).dropDuplicates(keys)
+    return once.withColumn(time, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

@@ -120,10 +120,91 @@ def op9() -> str:
     qualify row_number() over (partition by page_id order by length(rule) desc nulls last) = 1"""
 
 
+def _crc32(text: str) -> str:
+    table = ", ".join(map(str, _crc_table()))
+    data = f"encode({text})"
+    steps = f"list_transform(range(octet_length({data})), lambda i: ('0x' || substr(hex({data}), 2 * i + 1, 2))::bigint)"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::bigint, {steps}), lambda c, x: xor(c >> 8, "
+        f"[{table}][cast(xor(c, x) & 255 as integer) + 1])), 4294967295::bigint)"
+    )
+
+
+def op11() -> str:
+    """Row by row from the left: of each conversation the cheapest edits that end in each role."""
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    key = "coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')"
+    return f"""
+    with recursive struck as (
+      select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_crc32(key)} % 20 as kind
+      from conversations),
+    damaged as (
+      select conv_id, turn, case kind when 4 then 'user' else role end as role,
+             case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+             unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as copy
+      from struck),
+    placed as (
+      select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as i,
+             trim(text, {white}) as body,
+             case when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else 'x' end as letter
+      from damaged),
+    marked as (
+      select *, case when body = '' then 'blank'
+                     when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+                     when right(body, 1) not in ('.', '!', '?') then 'truncated' else 'fine' end as fault,
+             lag(letter) over (partition by conv_id order by i) || letter as pair
+      from placed),
+    moves(p, q) as (values ('-', 's'), ('-', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')),
+    letters as (select unnest(['s', 'u', 'a', 'x']) as letter),
+    edits as (
+      select p, letter, p as q, 'D' as edit, 4 as cost from (select unnest(['-', 's', 'u', 'a']) as p), letters
+      union all select p, q, q, 'K', 0 from moves
+      union all select p, letter, q, 'R', 3 from moves, letters where q <> 's'),
+    inserts(p, q, cost, audit, lines) as (values
+      ('-', '-', 0, '', []::varchar[]), ('s', 's', 0, '', []), ('u', 'u', 0, '', []), ('a', 'a', 0, '', []),
+      ('-', 'u', 3, 'I', ['user:']), ('s', 'u', 3, 'I', ['user:']), ('a', 'u', 3, 'I', ['user:']),
+      ('u', 'a', 3, 'I', ['assistant:']), ('-', 'a', 6, 'II', ['user:', 'assistant:']),
+      ('s', 'a', 6, 'II', ['user:', 'assistant:'])),
+    convs as (select c.conv_id, count(i) as n from (select distinct conv_id from conversations) c
+              left join marked m on m.conv_id is not distinct from c.conv_id group by c.conv_id),
+    steps as (
+      select conv_id, 0::bigint as i, q, {{'cost': cost, 'audit': audit, 'lines': lines}} as best
+      from convs, inserts where p = '-'
+      union all
+      select s.conv_id, s.i + 1, c.q, min({{
+               'cost': s.best.cost + e.cost + c.cost + case when e.edit <> 'D' and r.fault = 'truncated' then 3 else 0 end,
+               'audit': s.best.audit || e.edit || c.audit,
+               'lines': s.best.lines || case e.edit when 'D' then []::varchar[] else
+                 [case when e.edit = 'K' then r.role when e.q = 'u' then 'user' else 'assistant' end || ':' || r.text] end
+                 || c.lines}})
+      from steps s
+      join marked r on r.conv_id is not distinct from s.conv_id and r.i = s.i + 1
+      join edits e on e.p = s.q and e.letter = r.letter and (e.edit = 'D' or r.fault in ('fine', 'truncated'))
+      join inserts c on c.p = e.q
+      group by s.conv_id, s.i, c.q),
+    done as (
+      select s.conv_id, min(best) as best from steps s join convs c
+        on s.conv_id is not distinct from c.conv_id and s.i = c.n
+      where q in ('-', 'a') group by s.conv_id),
+    seen as (
+      select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+             count(*) filter (where fault = 'blank') as blank,
+             count(*) filter (where fault = 'duplicate') as duplicate,
+             count(*) filter (where fault = 'truncated') as truncated,
+             count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal
+      from marked group by conv_id)
+    select d.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0) as blank,
+           coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+           coalesce(illegal, 0) as illegal, cast(best.cost as bigint) as cost, best.audit as audit,
+           sha256(array_to_string(best.lines, chr(10))) as repaired_sha256
+    from done d left join seen s on s.conv_id is not distinct from d.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_sharding": op3(),
         "op4_embedding_dedup": op4(),
         "op9_url_filters": op9(),
         "op10_minhash_forest": op10(),
+        "op11_dialogue_repair": op11(),
     }

@@ -56,3 +56,30 @@ def test_run(spark):
     found = corpus_pipeline.run(spark, SMALL)
     assert found.columns == ["doc_id", "lang", "source", "ids", "n_tokens", "decoded"]
     assert found.where("not decoded").count() == 0
+
+
+CLASHING = ("_id", "_h1", "_h2", "_times", "_time", "_data", "component_id", "first", "score", "region", "c", "n")
+
+
+def test_columns_of_the_caller_survive_every_stage(spark, make):
+    """Names that the operators use themselves, nulls, empty texts and repeated rows."""
+    text = "one two three four five six seven eight nine ten {} eleven twelve thirteen"
+    given = [(i, text.format(i % 4) if i % 5 else None, "en", f"s{i % 3}") for i in range(40)]
+    given += [(50, "", None, None), (None, text.format("x"), None, None)] + [given[1]] * 3
+    docs = make(given).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.selectExpr("*", *(f"concat(coalesce(cast(doc_id as string), '-'), '/{name}') as `{name}`" for name in CLASHING))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        got, all_of = Counter(rows(out)), Counter(rows(docs))
+        assert got and (set(got) <= set(all_of) if name == "mixing" else not got - all_of), name
+    tokens = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
+    assert len(tokens) == len(given) and all(r.decoded for r in tokens if r.n_tokens)
+
+
+def test_empty_and_null_documents_pass_every_stage(spark, make):
+    for given in ([], [(None, None), (1, None), (1, None), (2, "")]):
+        docs = make(given).select("doc_id", "text", "lang", "source", "n_chars")
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SMALL)
+        assert docs.count() == 0
