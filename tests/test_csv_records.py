@@ -160,3 +160,37 @@ def test_too_many_bad_rows_leave_the_old_table(spark, tmp_path):
     assert (report.row_count, report.bad_count) == (0, 1)
     assert spark.table("share_raw.olist_sellers").count() == 0
     assert spark.table("share_raw.olist_sellers_rejected").count() == 1
+
+
+def test_lines_meet_their_split_without_being_dealt_or_sorted(spark, tmp_path, small_splits):
+    """A task that had to gather or sort a split would hold all of its rows."""
+    save(tmp_path / "t.csv", as_csv([(str(i), "x", "y") for i in range(300)]))
+    small_splits(256)
+    df = csv_records.lines(spark, str(tmp_path / "t.csv"))
+    counted = csv_records.write_once(csv_records.splits(df, NAMES), "splits")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")  # as if the sizes were not known
+    try:
+        rows = csv_records.single_lines(df, counted)
+        plan = rows._jdf.queryExecution().executedPlan().toString().split("\n")
+        lines = rows.collect()
+    finally:
+        spark.conf.set(limit, before)
+    assert "BroadcastHashJoin" in next(step for step in plan if "Join" in step)  # the last join, that of the lines
+    assert sorted(r.line for r in lines) == list(range(2, 302))
+
+
+def test_both_folders_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    from orderloom.sources import ingest as loading
+
+    seen, stage = [], loading.publish.stage
+    monkeypatch.setattr(loading.publish, "stage", lambda *a: (seen.append(spark.conf.get(loading.WRITERS)), stage(*a))[1])
+    before = spark.conf.get(loading.WRITERS)
+    text = "seller_id,seller_city\ns1,x\ns2\ns3,y,z\n"
+    save(tmp_path / "olist_sellers.csv", text)
+    report = ingest(spark, str(tmp_path), "raw_sortless", ("olist_sellers",), most_bad=1.0).first()
+    assert int(seen[0]) >= 2 and spark.conf.get(loading.WRITERS) == before
+    assert (report.row_count, report.bad_count) == (1, 2)
+    assert [r.seller_id for r in spark.table("raw_sortless.olist_sellers").collect()] == ["s1"]
+    assert spark.table("raw_sortless.olist_sellers_rejected").count() == 2
