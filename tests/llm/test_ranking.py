@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -87,3 +89,58 @@ def test_sample_is_bounded_however_often_an_id_repeats(spark, make):
     good, bad = ranking.sample(docs, labels)
     assert good.shape == (1, ranking.FEATURES) and bad.shape == (1, ranking.FEATURES)
     assert ranking.sample(make([]), labels)[0].shape == (0, ranking.FEATURES)
+
+
+def _mixed(n: int, seed: int) -> list[str]:
+    """Texts whose classes overlap: each word is junk or not by the text's own share."""
+    rng = np.random.default_rng(seed)
+    words = np.array("alpha beta gamma delta epsilon zeta eta theta".split())
+    return [" ".join(np.where(rng.random(30) < share, np.char.upper(w), w)) for share in rng.beta(2, 2, n) for w in [rng.choice(words, 30)]]
+
+
+def test_steps_weights_and_cut_come_from_all_labelled_documents(spark, make, monkeypatch):
+    monkeypatch.setattr(ranking, "GOOD", 60)  # the rounds begin with some of them
+    monkeypatch.setattr(ranking, "BAD", 45)
+    rng = np.random.default_rng(4)
+    texts = _mixed(300, 4)
+    upper = np.array([sum(map(str.isupper, t)) / len(t) for t in texts])
+    quality = (upper + rng.normal(0, 0.2, len(texts)) < 0.45).astype(int)
+    docs = make(list(enumerate(texts)))
+    labels = spark.createDataFrame([*enumerate(quality.tolist())] * 2, "doc_id long, quality int")  # each label twice
+    model = ranking.fit(docs, labels)
+    taught = np.array([zlib.crc32(str(i).encode()) % ranking.FOLDS != 0 for i in range(len(texts))])
+    x = ranking.features([t.encode() for t in texts])
+    good, bad = x[taught & (quality == 1)], x[taught & (quality == 0)]
+    assert len(good) > 50 and len(bad) > 50
+    # As many lie below the cut as are bad.
+    scores = model.raw(np.vstack([good, bad]))
+    assert (scores < model.cut).sum() == len(bad)
+    # Steps are the quantiles of all, but for how finely values are told apart.
+    for mine, plain in zip(model.steps, ranking._steps(good, bad), strict=True):
+        if len(mine) and len(plain):
+            assert abs(mine[-1] - plain[-1]) <= 0.15 * plain[-1] + 0.02
+    # The loss over every pair is the least there is.
+    above_good, above_bad = ranking._above(good, model.steps), ranking._above(bad, model.steps)
+    i, j = np.divmod(np.arange(len(good) * len(bad)), len(bad))
+    least = ranking.bradley_terry(above_good[i], above_bad[j])
+
+    def loss(weights):
+        gaps = above_bad @ weights - (above_good @ weights)[:, None]
+        return np.logaddexp(0, gaps).mean() + ranking.RIDGE / 2 * (weights @ weights) / len(weights)
+
+    found = np.concatenate([np.diff(h) for h in model.heights])
+    begun = ranking._on_pairs(*ranking.sample(docs.where("doc_id in (%s)" % ",".join(map(str, np.flatnonzero(taught)))), labels), model.steps)[0]
+    assert loss(found) < 1.01 * loss(least) and loss(found) < 0.8 * loss(begun)
+    # Places of rows do not matter.
+    again = ranking.fit(docs.repartition(5), labels.repartition(3))
+    assert again.cut == model.cut and all((a == b).all() for a, b in zip(again.heights, model.heights, strict=True))
+
+
+def test_fit_without_a_class_or_text(spark, make):
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "doc_id long, quality int")
+    for rows in ([], [(1, "a b"), (2, "c")], [(1, "a"), (3, None)]):
+        assert ranking.fit(make(rows), labels).cut == pytest.approx(np.log(0.3 / 0.7))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % ranking.FOLDS]
+    same = spark.createDataFrame([(ids[0], 1), (ids[1], 0)], "doc_id long, quality int")
+    model = ranking.fit(make([(ids[0], "same"), (ids[1], "same")]), same)  # nothing tells them apart
+    assert ranking.predict(make([(1, "same"), (2, "")]), model).where("score between 0 and 1").count() == 2
