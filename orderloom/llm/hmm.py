@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,11 @@ STATES, HEAD, CLASSES = 8, 32_768, 1024
 ROUNDS, LEAST, GAIN = 30, 10, 1e-4
 #: Tokens that are worked on at once in training: texts of about one length, all of them whole.
 TOKENS = 1_000_000
+#: Places between two scalings of the states in training, and in scoring, which runs in double
+#: precision; states that sum to less than FAINT make training scale at every place.
+SCALED, SCALED_DOUBLE, FAINT = 4, 8, 1e-15
+#: Tokens whose expected counts are added up at once.
+PIECE = 65_536
 #: Added to counts of words, and weight of the symbols' overall frequencies in a state's emissions.
 ADD, PRIOR = 0.1, 50.0
 #: Distinct words that a task counts before it hands them on.
@@ -37,6 +43,16 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of a column of texts (bytes), one text after another, lower-cased A-Z and split at ASCII
+    white space as ``text.lower().split()`` does, and how many each text has."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words = found.flatten().view(pa.binary())
+    text = np.repeat(np.arange(len(texts)), found.value_lengths().to_numpy())
+    full = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word there
+    return words.filter(full), np.bincount(text[full.to_numpy(zero_copy_only=False)], minlength=len(texts))
+
+
 @dataclass
 class Model:
     """``emit``: symbols by states; the last two rows are the end of a text and one that never comes."""
@@ -78,6 +94,20 @@ class Vocabulary:
         found.append(self.end)
         return np.array(found, np.int32)
 
+    def sequences(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """What ``sequence`` gives for a column of texts (bytes): their symbols one text after another,
+        how many each text has, and the words without a symbol of their own."""
+        words, sizes = split_words(texts)
+        own = pc.index_in(words, value_set=pa.array(sorted(self.symbols, key=self.symbols.get), pa.binary()))
+        rare = words.filter(own.is_null())
+        tails = pc.binary_slice(rare, -3).dictionary_encode()
+        classes = np.array([word_class(t) for t in tails.dictionary.to_pylist()], np.int32)
+        found = own.fill_null(-1).to_numpy().copy()
+        found[found < 0] = len(self.symbols) + classes[tails.indices.to_numpy()]
+        symbols = np.full(len(words) + len(texts), self.end, np.int32)
+        symbols[np.arange(len(words)) + np.repeat(np.arange(len(texts)), sizes)] = found
+        return symbols, sizes + 1, rare
+
     def frequencies(self) -> np.ndarray:
         """Share of each symbol in training, smoothed; the last has none."""
         each = np.concatenate([self.counts, self.class_sums, [self.ends]]) + ADD
@@ -146,6 +176,43 @@ def first_model(v: Vocabulary, seed: int = 7) -> Model:
     return Model(emit, move, np.full(STATES, 1 / STATES))
 
 
+def _ahead(ahead, seen, start, move, running: list[int], every: int) -> tuple[np.ndarray, float]:
+    """Fills ``ahead`` with the states by the emissions ``seen``, scaled ahead and in ``seen`` after so
+    many places. Returns the sums of the logs of a sequence's scales, and the least scale; a faint one
+    ends the work, unless each place is scaled."""
+    one = np.ones((STATES, STATES), np.float32)  # the sum of a row, in each of its columns
+    logs, least = np.zeros(running[0]), 1.0
+    low, n = 0, 0
+    for t, m in enumerate(running):
+        now, here = ahead[low + n : low + n + m], seen[low + n : low + n + m]
+        if t:
+            np.dot(ahead[low : low + m], move, now)
+            np.multiply(now, here, now)
+        else:
+            np.multiply(here, start, now)
+        low, n = low + n, m
+        if t % every == every - 1:
+            scale = np.dot(now, one)
+            least = min(least, float(scale.min()))
+            if every > 1 and least <= FAINT:
+                break
+            now /= scale
+            here /= scale
+            logs[:m] += np.log(scale[:, 0].astype(float))
+    return logs, least
+
+
+def _back(back, seen, move, running: list[int]) -> None:
+    """Fills ``back`` from the sequences' last places, and multiplies it into ``seen``."""
+    high = len(seen)
+    for n, m in zip(running[:0:-1], running[-2::-1], strict=True):
+        low = high - n
+        here = seen[low:high]
+        np.multiply(here, back[low:high], here)
+        np.dot(here, move, back[low - m : low - m + n])
+        high = low
+
+
 class Counts:
     """Expected counts of a Baum-Welch round; they add up over tasks."""
 
@@ -154,6 +221,7 @@ class Counts:
         self.move = np.zeros((STATES, STATES))
         self.start = np.zeros(STATES)
         self.score = 0.0
+        self._held = np.empty((3, 0, STATES), np.float32)
 
     def add(self, m: Model, sequences: list[np.ndarray], times: np.ndarray | None = None) -> None:
         """Forward and backward over whole sequences, each counted so many times. Sequences come in any
@@ -161,47 +229,60 @@ class Counts:
         sizes = np.array([len(s) for s in sequences])
         times = np.ones(len(sizes)) if times is None else np.asarray(times, float)
         order = np.argsort(-sizes, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(np.cumsum(sizes[order]) // TOKENS)) + 1):
+        first = np.cumsum(sizes[order]) - sizes[order]
+        for part in np.split(order, np.flatnonzero(np.diff(first // TOKENS)) + 1):
             self._add(m, [sequences[i] for i in part], sizes[part], times[part])
 
+    def _room(self, tokens: int) -> np.ndarray:
+        """Three tables of states by token, kept from one call to the next."""
+        if self._held.shape[1] < tokens:
+            self._held = np.empty((3, tokens + tokens // 8, STATES), np.float32)
+        return self._held[:, :tokens]
+
     def _add(self, m: Model, sequences: list[np.ndarray], sizes: np.ndarray, times: np.ndarray) -> None:
-        """Sequences, longest first, place by place: those still running stand in front. States are
-        lines, so that each step works on whole rows; single precision is enough, as each place is
-        scaled, while counts and the likelihood add up in double."""
+        """Sequences, longest first, place by place: those still running stand in front, so that each
+        step works on whole rows. Single precision is enough, as emissions are taken relative to their
+        symbol's largest and states are scaled, while counts and the likelihood add up in double."""
         running = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # sizes > place
-        ends = np.cumsum(running)
-        begins = ends - running
+        begins = np.cumsum(running) - running
         rank = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(rank)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         tokens = np.empty(len(rank), np.int64)
         tokens[begins[place] + rank] = np.concatenate(sequences)
-        emit, move = np.ascontiguousarray(m.emit.T, np.float32), m.move.astype(np.float32)
-        weight = times.astype(np.float32)
-        ahead, scale = np.empty((STATES, len(tokens)), np.float32), np.empty(len(tokens), np.float32)
-        state = np.tile(m.start.astype(np.float32)[:, None], len(sizes))
-        for t, (low, high) in enumerate(zip(begins, ends, strict=True)):
-            if t:
-                state = move.T @ state[:, : high - low]
-            state = state * emit.take(tokens[low:high], axis=1)
-            scale[low:high] = state.sum(axis=0)
-            state /= scale[low:high]
-            ahead[:, low:high] = state
+        last = begins[sizes - 1] + np.arange(len(sizes))
+        top = m.emit.max(axis=1)
+        emit, move = (m.emit / top[:, None]).astype(np.float32), m.move.astype(np.float32)
+        ahead, seen, back = self._room(len(tokens))
+        for every in (SCALED, 1):
+            emit.take(tokens, axis=0, out=seen, mode="clip")
+            logs, least = _ahead(ahead, seen, m.start.astype(np.float32), move, running.tolist(), every)
+            z = ahead[last].sum(axis=1)
+            if min(least, z.min()) > FAINT:
+                break
+        self.score += float((logs + np.log(z.astype(float))) @ times)
+        back[last] = (times / z).astype(np.float32)[:, None]
+        _back(back, seen, np.ascontiguousarray(move.T), running.tolist())
+        # Places of equally many sequences stand one after another, and so do the places before them.
         moved = np.zeros((STATES, STATES))
-        back = np.ones((STATES, running[-1]), np.float32)
-        for t in range(len(running) - 1, 0, -1):
-            low, high, before = begins[t], ends[t], begins[t - 1]
-            n = high - low
-            seen = emit.take(tokens[low:high], axis=1) * (back / scale[low:high])
-            moved += ahead[:, before : before + n] @ (seen * weight[:n]).T
-            back = np.ones((STATES, low - before), np.float32)
-            back[:, :n] = move @ seen
-            ahead[:, before : before + n] *= back[:, :n]
+        cuts = [*np.flatnonzero(np.diff(running)).tolist(), len(running) - 1]
+        for a, b in zip([0, *(c + 1 for c in cuts)], cuts, strict=False):
+            n, low, high = running[a], begins[a], begins[b]
+            if a < b:
+                moved += ahead[low:high].T @ seen[low + n : high + n]
+            if b + 1 < len(running):
+                n = running[b + 1]
+                moved += ahead[high : high + n].T @ seen[begins[b + 1] : begins[b + 1] + n]
         self.move += m.move * moved
-        self.start += ahead[:, : running[0]].astype(float) @ times
-        each = times[np.arange(len(tokens)) - np.repeat(begins, running)]
-        self.score += float(np.log(scale.astype(float)) @ each)
-        for k in range(STATES):
-            self.emit[:, k] += np.bincount(tokens, ahead[k] * each, len(m.emit))
+        ahead *= back
+        self.start += ahead[: len(sizes)].sum(axis=0, dtype=float)
+        found, lines = np.zeros((STATES, len(m.emit))), np.empty((STATES, PIECE))
+        for low in range(0, len(tokens), PIECE):
+            some = tokens[low : low + PIECE]
+            lines[:, : len(some)] = ahead[low : low + PIECE].T
+            for k in range(STATES):
+                found[k] += np.bincount(some, lines[k, : len(some)], len(m.emit))
+        self.emit += found.T
+        self.score += float(np.log(top) @ found.sum(axis=0))
 
     def model(self, v: Vocabulary) -> Model:
         emit = self.emit + PRIOR * v.frequencies()[:, None]
@@ -220,9 +301,11 @@ def encode(texts: DataFrame, v: Vocabulary) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                some = batch.column("text").slice(low, 500).to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([sent.value.sequence(t.lower().split()).tobytes() for t in some])], names=["symbols"])
+            for low in range(0, batch.num_rows, 2000):
+                symbols, sizes, _ = sent.value.sequences(batch.column("text").slice(low, 2000))
+                ends = np.append(0, symbols.itemsize * np.cumsum(sizes)).astype(np.int32)
+                buffers = [None, pa.py_buffer(ends), pa.py_buffer(symbols)]
+                yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(sizes), buffers)], names=["symbols"])
 
     found = texts.select("text").mapInArrow(run, "symbols binary").groupBy("symbols").agg(F.count(F.lit(1)).alias("times"))
     return write_once(found.sortWithinPartitions(F.desc(F.octet_length("symbols"))), "sequences")
@@ -290,15 +373,19 @@ def forward(m: Model, sequences: list[np.ndarray]) -> np.ndarray:
     sizes = sizes[order]
     begins = np.cumsum(sizes) - sizes
     running = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # sizes > place
+    one = np.ones((STATES, STATES))  # the sum of a row, in each of its columns
     total = np.zeros(len(sizes))
     state = np.tile(m.start, (len(sizes), 1))
-    for t in range(sizes[0]):
-        n = running[t]
-        state = state[:n] @ m.move if t else state
-        state = state * m.emit[flat[begins[:n] + t]]
-        scale = state.sum(axis=1)
-        total[:n] += np.log10(scale)
-        state /= scale[:, None]
+    for t, n in enumerate(running.tolist()):
+        if n < len(state):
+            total[n : len(state)] += np.log10(state[n:].sum(axis=1))
+        state = np.dot(state[:n], m.move) if t else state
+        state *= m.emit.take(flat.take(begins[:n] + t), axis=0)
+        if t % SCALED_DOUBLE == SCALED_DOUBLE - 1:
+            scale = np.dot(state, one)
+            total[:n] += np.log10(scale[:, 0])
+            state /= scale
+    total[: len(state)] += np.log10(state.sum(axis=1))
     out = np.empty(len(sizes))
     out[order] = total
     return out
@@ -312,31 +399,35 @@ def _score(sent):
         of_class = -np.log10(v.class_sums + ADD * (v.class_words + 1))
         first = len(v.symbols)
         for batch in batches:
-            for low in range(0, batch.num_rows, 2000):
-                part = batch.slice(low, 2000)
-                texts = [t.lower().split() for t in part.column("text").to_pylist()]
-                sequences = [v.sequence(words) for words in texts]
-                score = forward(m, sequences)
-                known, sums, rare, times = [], [], [], []
-                for i, (words, s) in enumerate(zip(texts, sequences, strict=True)):
-                    s = s[:-1]
-                    plain = s < first
-                    known.append(int(plain.sum()) + (v.ends > 0))
-                    sums.append(float(base[s[plain]].sum()) + base_end)
-                    others = s[~plain]
-                    score[i] += of_class[others - first].sum()
-                    counted = Counter([words[j] for j in np.flatnonzero(~plain)])
-                    rare.append(list(counted))
-                    times.append(list(counted.values()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"), part.column("held_out"),
-                        pa.array([len(s) for s in sequences], pa.int64()), pa.array(known, pa.int64()),
-                        pa.array(sums, pa.float64()), pa.array(score, pa.float64()),
-                        pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32())),
-                    ],
-                    names=["doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "times"],
-                )
+            if not batch.num_rows:
+                continue
+            parts = [v.sequences(batch.column("text").slice(low, 2000)) for low in range(0, batch.num_rows, 2000)]
+            symbols, sizes = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+            begins = np.cumsum(sizes) - sizes
+            plain, other = symbols < first, (symbols >= first) & (symbols < v.end)
+            each = np.zeros(len(symbols))
+            each[plain] = base[symbols[plain]]
+            sums = np.add.reduceat(each, begins) + base_end
+            each = np.zeros(len(symbols))
+            each[other] = of_class[symbols[other] - first]
+            score = forward(m, np.split(symbols, begins[1:])) + np.add.reduceat(each, begins)
+            known = np.add.reduceat(plain, begins, dtype=np.int64) + (v.ends > 0)
+            # The other words of each text, equal ones once with their number.
+            words = pa.concat_arrays([p[2] for p in parts]).dictionary_encode()
+            kinds = max(len(words.dictionary), 1)
+            text = np.repeat(np.arange(len(sizes)), np.add.reduceat(other, begins, dtype=np.int64))
+            pairs, times = np.unique(text * kinds + words.indices.to_numpy(), return_counts=True)
+            ends = pa.array(np.searchsorted(pairs, np.arange(len(sizes) + 1) * kinds), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"), batch.column("held_out"),
+                    pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
+                    pa.array(sums, pa.float64()), pa.array(score, pa.float64()),
+                    pa.ListArray.from_arrays(ends, words.dictionary.take(pa.array(pairs % kinds))),
+                    pa.ListArray.from_arrays(ends, pa.array(times, pa.int32())),
+                ],
+                names=["doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "times"],
+            )
 
     return run
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderloom.llm import hmm
@@ -171,3 +172,46 @@ def test_score_of_the_query_equals_a_plain_version(spark, monkeypatch):
         word = lambda w: math.log10((n[w] + 0.1) / (rare[hmm.word_class(w)] + 0.1 * (kinds[hmm.word_class(w)] + 1)))
         score = likelihood / math.log(10) + sum(word(w) for w in words if w not in head)
         assert found[i] == pytest.approx(score, rel=1e-4)
+
+
+def test_a_block_of_tokens_is_worked_on_at_once(monkeypatch):
+    """The sequence that fills a block stays with it, instead of running place by place on its own."""
+    monkeypatch.setattr(hmm, "TOKENS", 1000)
+    m = small_model(np.random.default_rng(3))
+    parts = []
+    monkeypatch.setattr(hmm.Counts, "_add", lambda self, m, sequences, sizes, times: parts.append(len(sequences)))
+    hmm.Counts(len(m.emit)).add(m, [np.zeros(300, int)] * 4)
+    assert parts == [4]
+
+
+@pytest.mark.parametrize("faint", [1e-3, 1e-6, 1e-12])
+def test_faint_states_are_scaled_at_every_place(faint):
+    """States that hardly change and words that hardly any state has, whose product is below single precision."""
+    emit = np.full((3, hmm.STATES), faint)
+    emit[0, ::2] = emit[1, 1::2] = 1 - faint
+    emit[2] = 1.0
+    move = np.full((hmm.STATES, hmm.STATES), faint / hmm.STATES) + (1 - faint) * np.eye(hmm.STATES)
+    start = np.full(hmm.STATES, faint)
+    start[0] += 1 - start.sum()
+    m = hmm.Model(emit, move, start)
+    seqs, times = [np.array(x) for x in ([0, 1] * 20, [1] * 9, [1, 1, 0], [1])], [1, 3, 1, 2]
+    counts = hmm.Counts(len(emit))
+    counts.add(m, seqs, times)
+    want = [sum(n * x for n, x in zip(times, parts, strict=True)) for parts in zip(*(plain_counts(m, s) for s in seqs), strict=True)]
+    for got, exact in zip((counts.emit, counts.move, counts.start, counts.score), want, strict=True):
+        assert np.allclose(got, exact, rtol=1e-3, atol=1e-5)
+    assert np.allclose(hmm.forward(m, seqs), [plain_counts(m, s)[3] / math.log(10) for s in seqs])
+
+
+@pytest.mark.parametrize("head", [[], [b"a", b"ab", b"\xc3\xa9"]])
+def test_symbols_of_a_column_equal_those_of_its_texts(head):
+    v = hmm.Vocabulary({w: i for i, w in enumerate(head)}, np.ones(len(head)), np.zeros(hmm.CLASSES), np.zeros(hmm.CLASSES), 1, 1, 1)
+    rng = np.random.default_rng(4)
+    letters = np.frombuffer(b"abAB \t\n\x0b\x0c\r\x1c\x85\xa0\xc3\xa9\x00", np.uint8)
+    texts = [b"", b"  ", b"\x1c", b" A  ab\n"] + [rng.choice(letters, n).tobytes() for n in rng.integers(0, 40, 500)]
+    for low in (0, 3):  # a slice as well
+        symbols, sizes, rare = v.sequences(pa.array(texts, pa.binary()).slice(low))
+        words = [t.lower().split() for t in texts[low:]]
+        each = [v.sequence(w) for w in words]
+        assert sizes.tolist() == [len(s) for s in each] and symbols.tolist() == np.concatenate(each).tolist()
+        assert rare.to_pylist() == [w for some in words for w in some if w not in v.symbols]
