@@ -35,14 +35,21 @@ SCALED, SCALED_DOUBLE, FAINT = 4, 8, 1e-15
 PIECE = 65_536
 #: Added to counts of words, and weight of the symbols' overall frequencies in a state's emissions.
 ADD, PRIOR = 0.1, 50.0
-#: Distinct words that a task counts before it hands them on.
-COUNTED = 300_000
+#: Bytes of words that a task gathers before it counts them and hands the counts on.
+COUNTED = 64 << 20
 
 
 def word_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
 
+def word_classes(words: pa.Array) -> np.ndarray:
+    """``word_class`` of a column of words."""
+    tails = pc.binary_slice(words, -3).dictionary_encode()
+    classes = np.array([word_class(t) for t in tails.dictionary.to_pylist()], np.int32)
+    return classes[tails.indices.to_numpy()]
+
+
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words of a column of texts (bytes), one text after another, lower-cased A-Z and split at ASCII
     white space as ``text.lower().split()`` does, and how many each text has."""
@@ -100,10 +107,8 @@ class Vocabulary:
         words, sizes = split_words(texts)
         own = pc.index_in(words, value_set=pa.array(sorted(self.symbols, key=self.symbols.get), pa.binary()))
         rare = words.filter(own.is_null())
-        tails = pc.binary_slice(rare, -3).dictionary_encode()
-        classes = np.array([word_class(t) for t in tails.dictionary.to_pylist()], np.int32)
         found = own.fill_null(-1).to_numpy().copy()
-        found[found < 0] = len(self.symbols) + classes[tails.indices.to_numpy()]
+        found[found < 0] = len(self.symbols) + word_classes(rare)
         symbols = np.full(len(words) + len(texts), self.end, np.int32)
         symbols[np.arange(len(words)) + np.repeat(np.arange(len(texts)), sizes)] = found
         return symbols, sizes + 1, rare
@@ -118,23 +123,20 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of a task's words, handed on before they fill its memory."""
 
     def out() -> pa.RecordBatch:
-        words = list(counts)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(words, pa.binary()), pa.array(list(map(word_class, words)), pa.int32()),
-                pa.array(list(counts.values()), pa.int64()),
-            ],
-            names=["word", "class", "n"],
-        )
-
-    counts: Counter = Counter()
+        found = pa.concat_arrays(held).value_counts()
+        words = found.field("values")
+        return pa.RecordBatch.from_arrays([words, pa.array(word_classes(words)), found.field("counts")], names=["word", "class", "n"])
+
+    held: list[pa.Array] = []
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            counts.update(text.lower().split())
-            if len(counts) > COUNTED:
+        for low in range(0, batch.num_rows, 2000):
+            words = split_words(batch.column("text").slice(low, 2000))[0]
+            if held and words.nbytes + sum(w.nbytes for w in held) > COUNTED:
                 yield out()
-                counts.clear()
-    yield out()
+                held.clear()
+            held.append(words)
+    if held:
+        yield out()
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -348,18 +350,14 @@ def baum_welch(sequences: DataFrame, m: Model, v: Vocabulary) -> tuple[Model, fl
     sent = sequences.sparkSession.sparkContext.broadcast(m)  # HEAD + CLASSES symbols
     columns = [f"s{k}" for k in range(STATES)]
     found = sequences.mapInArrow(_expect(sent), "symbol int, " + ", ".join(f"{c} float" for c in columns))
-    sums = found.groupBy("symbol").agg(*(F.sum(c).alias(c) for c in columns)).collect()
+    sums = found.groupBy("symbol").agg(*(F.sum(c).alias(c) for c in columns)).toArrow()
+    symbol, values = sums["symbol"].to_numpy(), np.column_stack([sums[c].to_numpy() for c in columns])
     counts = Counts(len(m.emit))
-    for r in sums:
-        values = [r[c] for c in columns]
-        if r.symbol >= 0:
-            counts.emit[r.symbol] = values
-        elif r.symbol == -1 - STATES:
-            counts.start = np.array(values)
-        elif r.symbol == -2 - STATES:
-            counts.score = values[0]
-        else:
-            counts.move[-1 - r.symbol] = values
+    counts.emit[symbol[symbol >= 0]] = values[symbol >= 0]
+    rest = dict(zip(symbol[symbol < 0].tolist(), values[symbol < 0], strict=True))
+    if rest:
+        counts.move = np.array([rest[-1 - k] for k in range(STATES)])
+        counts.start, counts.score = rest[-1 - STATES], float(rest[-2 - STATES][0])
     sent.unpersist()
     return counts.model(v), counts.score
 

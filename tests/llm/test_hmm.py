@@ -215,3 +215,17 @@ def test_symbols_of_a_column_equal_those_of_its_texts(head):
         each = [v.sequence(w) for w in words]
         assert sizes.tolist() == [len(s) for s in each] and symbols.tolist() == np.concatenate(each).tolist()
         assert rare.to_pylist() == [w for some in words for w in some if w not in v.symbols]
+
+
+@pytest.mark.parametrize("most", [50, 1 << 20])
+def test_counts_of_a_task_equal_plain_ones(monkeypatch, most):
+    monkeypatch.setattr(hmm, "COUNTED", most)
+    texts = [b"", b" the Cat", b"cat\xff the\x1c"] + [f"the w{i % 7} {'Far ' * (i % 3)}".encode() for i in range(5000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], names=["text"]) for some in (texts, [], texts[:3])]
+    got = Counter()
+    for found in hmm._count(batches):
+        for word, kind, n in zip(*(c.to_pylist() for c in found.columns), strict=True):
+            got[word] += n
+            assert kind == hmm.word_class(word)
+    assert got == Counter(w for t in texts + texts[:3] for w in t.lower().split())
+    assert list(hmm._count([])) == []
